@@ -14,6 +14,7 @@ import json
 import os
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -120,8 +121,6 @@ def token_bytes(path: str) -> list[bytes]:
 def decode(ids: Column, file: str = DEFAULT, folder: str | None = None) -> Column:
     """Text of a list of ids. Bytes are joined before they are decoded, so that characters split over tokens come out whole;
     a list cut inside a character gives U+FFFD for the rest; null gives null, an id outside the vocabulary nothing."""
-    import pandas as pd
-
     path = tokenizer_file(file, folder)
 
     @F.pandas_udf(T.StringType())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import encoding, splitting
+from quarry.llm import encoding, nearpairs, splitting
 from quarry.llm.common import table
 
 
@@ -21,6 +21,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_pieces(spark, sf_dir).where("piece_no = 1").select("ord")
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of new questions that are alike."""
+    return nearpairs.found(table(spark, sf_dir, "clean"))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     return encoding.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -34,7 +39,7 @@ def p6_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", F.size("ids").alias("n_tokens"), (F.col("back") == F.col("text")).alias("restored"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p6_ids, p6_restored)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p5_found, p6_ids, p6_restored)}
 
 SQL: dict[str, str] = {
     "p1_found": "SELECT ord FROM tasks WHERE length(text) > 2000",
