@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import encoding, nearpairs, splitting
 from quarry.llm.common import table
+from quarry.llm.history import Index
 
 
 def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_pieces(spark, sf_dir).where("piece_no = 1").select("ord")
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which accepted questions the new ones repeat."""
+    return Index.of(table(spark, sf_dir, "bank")).lookup(table(spark, sf_dir, "clean"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of new questions that are alike."""
     return nearpairs.found(table(spark, sf_dir, "clean"))
@@ -39,7 +45,7 @@ def p6_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", F.size("ids").alias("n_tokens"), (F.col("back") == F.col("text")).alias("restored"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p5_found, p6_ids, p6_restored)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p5_found, p6_ids, p6_restored)}
 
 SQL: dict[str, str] = {
     "p1_found": "SELECT ord FROM tasks WHERE length(text) > 2000",
