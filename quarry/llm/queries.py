@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import encoding, nearpairs, splitting
+from quarry.llm import confusables, encoding, mojibake, nearpairs, splitting
 from quarry.llm.common import table
 from quarry.llm.history import Index
 
@@ -27,6 +27,27 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Index.of(table(spark, sf_dir, "bank")).lookup(table(spark, sf_dir, "clean"))
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(tbl, ord, text): the texts of slices and the quotes of new questions."""
+    tasks = table(spark, sf_dir, "tasks").select(F.lit("tasks").alias("tbl"), "ord", "text")
+    return tasks.unionByName(table(spark, sf_dir, "clean").select(F.lit("clean").alias("tbl"), "ord", F.col("source_quote").alias("text")))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that hold stand-ins for usual characters: those that the consistent form changes."""
+    return confusables.clean(_texts(spark, sf_dir), ["tbl", "ord"], "text", only_changed=True).select("tbl", "ord")
+
+
+def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts in one consistent form."""
+    return confusables.clean(_texts(spark, sf_dir), ["tbl", "ord"], "text")
+
+
+def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of quotes that look the same and are written differently."""
+    return confusables.groups(table(spark, sf_dir, "clean"), "source_quote")
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of new questions that are alike."""
     return nearpairs.found(table(spark, sf_dir, "clean"))
@@ -45,7 +66,22 @@ def p6_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", F.size("ids").alias("n_tokens"), (F.col("back") == F.col("text")).alias("restored"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p5_found, p6_ids, p6_restored)}
+def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with garbled text, restored as far as it can be."""
+    return mojibake.restored(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with garbled text."""
+    return p8_restored(spark, sf_dir).select("doc_id")
+
+
+def p8_lossy_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that lost a character, with the one word of the corpus that they can be."""
+    return mojibake.lossy_words(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p4_found, p4_clean, p4_groups, p5_found, p6_ids, p6_restored, p8_found, p8_restored, p8_lossy_words)}
 
 SQL: dict[str, str] = {
     "p1_found": "SELECT ord FROM tasks WHERE length(text) > 2000",

@@ -100,7 +100,7 @@ def strengths(text: str) -> np.ndarray:
     s[(before == 13) & (after == 10)] = NEVER
     for i in np.flatnonzero((after == 0x200D) | (before == 0x200D) | ((after >= 0x300) & (after < 0x1F00)) | ((after >= 0xFE00) & (after < 0xFE10)) | ((after >= 0x1F3FB) & (after < 0x1F400))):
         c = chr(after[i])
-        if unicodedata.combining(c) or c in "‍" or 0xFE00 <= after[i] < 0xFE10 or 0x1F3FB <= after[i] < 0x1F400 or before[i] == 0x200D:
+        if unicodedata.combining(c) or c in "\u200d" or 0xFE00 <= after[i] < 0xFE10 or 0x1F3FB <= after[i] < 0x1F400 or before[i] == 0x200D:
             s[i] = NEVER
     out[1:n] = s
     return out
