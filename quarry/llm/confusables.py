@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Ranges in which look-alikes of other characters are sought.
 RANGES = ((0x21, 0x7E), (0xA0, 0x52F), (0x531, 0x58A), (0x1C80, 0x1C88), (0x1D00, 0x1FFF), (0x2000, 0x206F), (0x2100, 0x218F), (0x2C60, 0x2C7F), (0x2E80, 0x2FD5), (0xA640, 0xA69F), (0xA720, 0xA7FF), (0xAB30, 0xABBF), (0xF900, 0xFAFF), (0xFB00, 0xFB06), (0xFF01, 0xFFEF), (0x1D400, 0x1D7FF), (0x2F800, 0x2FA1D))
@@ -133,9 +134,9 @@ def _latin_word(w: str, own: set[str], table: dict[int, str]) -> str:
     return new if fold(new) == fold(w) else w
 
 
-def suspect(text: Column | str) -> Column:
+def suspect(text: str) -> Column:
     """Whether the text has any character that may matter."""
-    return F.expr(f"{text} RLIKE '[^{COMMON}]'".replace("\\", "\\\\")) if isinstance(text, str) else text.rlike(f"[^{COMMON}]")
+    return F.col(text).rlike(f"[^{COMMON}]")
 
 
 def clean(df: DataFrame, keys: list[str], text: str, only_changed: bool = False) -> DataFrame:
@@ -154,8 +155,7 @@ def clean(df: DataFrame, keys: list[str], text: str, only_changed: bool = False)
             out = pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(new, pa.string()), changed], names=[*b.schema.names, "changed"])
             yield out.filter(changed) if only_changed else out
 
-    schema = slim.schema.add("changed", "boolean")
-    return slim.mapInArrow(run, schema)
+    return slim.mapInArrow(run, T.StructType([*slim.schema.fields, T.StructField("changed", T.BooleanType())]))
 
 
 def groups(df: DataFrame, text: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import confusables, encoding, mojibake, nearpairs, splitting
+from quarry.llm import confusables, encoding, leakage, mojibake, nearpairs, splitting
 from quarry.llm.common import table
 from quarry.llm.history import Index
 
@@ -66,6 +66,16 @@ def p6_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", F.size("ids").alias("n_tokens"), (F.col("back") == F.col("text")).alias("restored"))
 
 
+def p7_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages of held-out items in documents, to be cut out."""
+    return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the held-out items that they hold at least half of."""
+    return p7_spans(spark, sf_dir).select("doc_id", "item_id").distinct()
+
+
 def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with garbled text, restored as far as it can be."""
     return mojibake.restored(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -81,7 +91,7 @@ def p8_lossy_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.lossy_words(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p4_found, p4_clean, p4_groups, p5_found, p6_ids, p6_restored, p8_found, p8_restored, p8_lossy_words)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p4_found, p4_clean, p4_groups, p5_found, p6_ids, p6_restored, p7_found, p7_spans, p8_found, p8_restored, p8_lossy_words)}
 
 SQL: dict[str, str] = {
     "p1_found": "SELECT ord FROM tasks WHERE length(text) > 2000",
