@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import confusables, encoding, leakage, mojibake, nearpairs, splitting
+from quarry.llm import confusables, encoding, leakage, markup, mojibake, nearpairs, splitting
 from quarry.llm.common import table
 from quarry.llm.history import Index
 
@@ -22,6 +22,20 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_pieces(spark, sf_dir).where("piece_no = 1").select("ord")
 
 
+def _framed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _texts(spark, sf_dir).withColumn("framed", F.col("tbl") == "tasks")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and the families of markup that they hold."""
+    return markup.found(_framed(spark, sf_dir), ["tbl", "ord"], "text", "framed")
+
+
+def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts without markup, their structure kept."""
+    return markup.clean(_framed(spark, sf_dir), ["tbl", "ord"], "text", "framed")
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which accepted questions the new ones repeat."""
     return Index.of(table(spark, sf_dir, "bank")).lookup(table(spark, sf_dir, "clean"))
@@ -91,7 +105,7 @@ def p8_lossy_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.lossy_words(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p4_found, p4_clean, p4_groups, p5_found, p6_ids, p6_restored, p7_found, p7_spans, p8_found, p8_restored, p8_lossy_words)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_clean, p3_found, p4_found, p4_clean, p4_groups, p5_found, p6_ids, p6_restored, p7_found, p7_spans, p8_found, p8_restored, p8_lossy_words)}
 
 SQL: dict[str, str] = {
     "p1_found": "SELECT ord FROM tasks WHERE length(text) > 2000",
