@@ -243,14 +243,15 @@ class Table:
 
     def restore(self, text: str) -> tuple[str, int, bool]:
         """The text with originals put in, the number of them, and whether something is garbled beyond that."""
-        total = 0
-        for step in (self._twice, lambda t: self._once(t, "cp1252"), self._latin_pairs):
-            text, n = step(text)
+        text, total = self._twice(text)
+        # several one-byte encodings may explain a part of a text: the one that explains most comes first
+        hits = {codec: self._once(text, codec)[1] for codec in SINGLE}
+        for codec in sorted((c for c in SINGLE if hits[c]), key=lambda c: -hits[c]):
+            text, n = self._once(text, codec)
             total += n
+        text, n = self._latin_pairs(text)
+        total += n
         if self.uncommon.search(text):
-            for codec in SINGLE[1:]:
-                text, n = self._once(text, codec)
-                total += n
             for codec in DOUBLE:
                 text, n = self._utf8_as(text, codec)
                 total += n

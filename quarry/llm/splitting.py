@@ -139,7 +139,7 @@ def spans(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[i
     out, start, end = [], 0, 0
     while n - start > limit:
         # shorter pieces than half the limit are not worth a stronger boundary; a piece must pass the last one's end
-        low, high = max(start + limit // 2, end + 1, start + 1), start + limit
+        low, high = max(start + max(limit // 2, overlap + 1), end + 1), start + limit
         power, cut = table.best(low, high)
         if power <= ANY:
             cut = high if strength[high] != NEVER or power == NEVER else cut
