@@ -35,7 +35,7 @@ def by_fingerprint(incoming: DataFrame, bank: DataFrame) -> DataFrame:
 
 
 def _components(edges: DataFrame) -> DataFrame:
-    """(ord, bank_ord, score, fixed, grp): edges with the least old order that their group reaches. Groups are small, as an edge takes
+    """(ord, bank_ord, score, exact, grp): edges with the least old order that their group reaches. Groups are small, as an edge takes
     near equality; the label goes on until nothing changes, the lineage cut after each step."""
     from quarry.operators.lineage import cut
 
@@ -51,40 +51,44 @@ def _components(edges: DataFrame) -> DataFrame:
 
 
 def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Greedy choice in order of the new questions, group by group; rows come sorted by (grp, ord, -score, bank_ord)."""
-    grp, taken, current, done = None, set(), None, False
+    """Greedy choice in order of the new questions, group by group; rows come sorted by (grp, ord, -score, bank_ord), a question's
+    own fingerprint first. An old question that a like one has taken is no longer found by its fingerprint."""
+    grp, current, done = None, None, False
+    taken: set[int] = set()
+    replaced: set[int] = set()
     for b in batches:
         out = []
-        for g, o, old, fixed in zip(b["grp"], b["ord"], b["bank_ord"], b["fixed"]):
+        for g, o, old, exact in zip(b["grp"], b["ord"], b["bank_ord"], b["exact"]):
             if g != grp:
-                grp, taken = g, set()
-                current = None
+                grp, current, taken, replaced = g, None, set(), set()
             if o != current:
                 current, done = o, False
-            if fixed:
-                taken.add(old)
+            if done:
                 continue
-            if not done and old not in taken:
-                taken.add(old)
+            if exact:
+                if old not in replaced:
+                    done = True
+                    if exact != "existing":
+                        taken.add(old)
+                    out.append((o, old, exact))
+            elif old not in taken:
                 done = True
-                out.append((o, old))
-        yield pd.DataFrame(out, columns=["ord", "bank_ord"]).astype("int64")
+                taken.add(old)
+                replaced.add(old)
+                out.append((o, old, ""))
+        yield pd.DataFrame(out, columns=["ord", "bank_ord", "how"]).astype({"ord": "int64", "bank_ord": "int64"})
 
 
 def actions(incoming: DataFrame, bank: DataFrame, options: Options = Options()) -> DataFrame:
     """(ord, bank_ord, action) for every new question: existing, updated, locked or new."""
-    exact = by_fingerprint(incoming, bank)
-    misses = incoming.join(exact.where("action = 'miss'").select("ord"), "ord", "left_semi")
-    edges = fuzzy_edges(misses, bank, options.similarity, options.judge_stem_min).select("ord", "bank_ord", "score", F.lit(False).alias("fixed"))
-    # an old question that its own fingerprint takes is gone for new ones that come later
-    fixed = exact.where("action IN ('updated', 'locked')").select("ord", "bank_ord", F.lit(2.0).alias("score"), F.lit(True).alias("fixed"))
-    fixed = fixed.join(edges.select("bank_ord").distinct(), "bank_ord", "left_semi").select("ord", "bank_ord", "score", "fixed")
-    grouped = _components(edges.unionByName(fixed))
-    chosen = grouped.repartition("grp").sortWithinPartitions("grp", "ord", F.desc("score"), "bank_ord").select("grp", "ord", "bank_ord", "fixed").mapInPandas(_settle, "ord long, bank_ord long")
+    exact = by_fingerprint(incoming, bank).where("action <> 'miss'")
+    edges = fuzzy_edges(incoming, bank, options.similarity, options.judge_stem_min).select("ord", "bank_ord", "score", F.lit("").alias("exact"))
+    own = exact.select("ord", "bank_ord", F.lit(2.0).alias("score"), F.col("action").alias("exact"))
+    grouped = _components(edges.unionByName(own))
+    chosen = grouped.repartition("grp").sortWithinPartitions("grp", "ord", F.desc("score"), "bank_ord").select("grp", "ord", "bank_ord", "exact").mapInPandas(_settle, "ord long, bank_ord long, how string")
     locks = bank.select(F.col("ord").alias("bank_ord"), F.coalesce("_locked", F.lit(False)).alias("lock"))
-    fuzzy = chosen.join(locks, "bank_ord").select("ord", "bank_ord", F.when(F.col("lock"), "locked").otherwise("updated").alias("fuzzy"))
-    j = exact.join(fuzzy.withColumnRenamed("bank_ord", "fuzzy_ord"), "ord", "left")
-    return j.select("ord", F.coalesce("fuzzy_ord", "bank_ord").alias("bank_ord"), F.when(F.col("action") != "miss", F.col("action")).otherwise(F.coalesce("fuzzy", F.lit("new"))).alias("action"))
+    settled = chosen.join(locks, "bank_ord").select("ord", "bank_ord", F.when(F.col("how") != "", F.col("how")).when(F.col("lock"), "locked").otherwise("updated").alias("action"))
+    return incoming.select("ord").join(settled, "ord", "left").select("ord", "bank_ord", F.coalesce("action", F.lit("new")).alias("action"))
 
 
 def leftovers(bank: DataFrame, acted: DataFrame, rels: DataFrame | None = None, task_ids: DataFrame | None = None, options: Options = Options()) -> DataFrame:

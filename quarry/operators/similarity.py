@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from quarry.functions.text import norm
 
 #: Characters of the runs that near-duplicate stems are brought together by, and distance at which one of each text's is kept.
-RUN = 6
+RUN = 4
 
 
 @F.pandas_udf(T.DoubleType())
@@ -43,11 +43,12 @@ def _runs(c: Column) -> Column:
     return F.when(n <= RUN, F.array(c)).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), n - RUN + 1), lambda i: F.substring(c, i, F.lit(RUN)))))
 
 
-def near_duplicates(questions: DataFrame, least: float = 0.85, kept: int = 8) -> DataFrame:
+def near_duplicates(questions: DataFrame, least: float = 0.85, kept: int = 12) -> DataFrame:
     """(ord_a, ord_b, ratio): pairs of questions of one type whose stems are nearly equal, earlier one first.
 
-    Candidates share one of a stem's ``kept`` rarest runs among those that occur at all twice; stems that are equal in normal form
-    are one class, expanded at the end. Empty stems have no partner. Against brute force see the tests."""
+    Candidates share one of a stem's ``kept`` rarest runs among those that occur at all twice, and no pair that does is missed; a
+    pair changed in so many places that no such run is left may be. Stems that are equal in normal form are one class, expanded at
+    the end. Empty stems have no partner. The tests hold it against brute force."""
     slim = questions.select("ord", F.coalesce("type", F.lit("")).alias("type"), norm(F.col("stem")).alias("s")).where("s <> ''")
     classes = slim.groupBy("type", "s").agg(F.min("ord").alias("rep"))
     runs = classes.select("type", "rep", "s", F.explode(_runs(F.col("s"))).alias("run"))

@@ -18,7 +18,7 @@ from quarry.operators import merge, slices, structure
 
 def file_stream(spark: SparkSession, folder: str) -> DataFrame:
     """(rel, raw) of Markdown files as they arrive."""
-    return spark.readStream.option("wholetext", True).option("pathGlobFilter", "*.md").option("recursiveFileLookup", True).text(folder).select(F.col("_metadata.file_path").alias("rel"), F.col("value").alias("raw"))
+    return spark.readStream.option("pathGlobFilter", "*.md").option("recursiveFileLookup", True).text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("rel"), F.col("value").alias("raw"))
 
 
 def slice_stream(files: DataFrame, options: Options = Options()) -> DataFrame:
