@@ -40,7 +40,7 @@ ITEMS = 5_000
 #: A passage holds this part of an item, and in it at least this part of the characters is the same.
 PART, SAME = 0.5, 0.75
 #: Equal runs below this length are chance. Of an item's phrases this share must lie on about one diagonal, or it is wording in common.
-RUN, HITS = 5, 0.15
+RUN, HITS = 5, 0.25
 #: Characters by which edits may shift a passage.
 SHIFT = 40
 
