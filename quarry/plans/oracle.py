@@ -1,12 +1,12 @@
 """SQL for DuckDB with the results of the queries in ``workload``.
 
 Left out are those that SQL can't state, or not in reasonable time: sequence ratios and what rests on them, greedy packing of
-paragraphs, sequential balancing, and the full rule set. They are tested against brute force.
+paragraphs and sequential balancing. They are tested against brute force.
 """
 
 from __future__ import annotations
 
-from quarry.contract import FREQUENCIES, QUESTION_WORDS
+from quarry.contract import DIFFICULTIES, DIFFICULTY_NAMES, FALSE_WORDS, FREQUENCIES, LABELS, QUESTION_WORDS, TRUE_WORDS, TYPE_NAMES, TYPES
 
 WS = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 INNER = WS[1:-1]
@@ -176,3 +176,79 @@ SELECT ord, batch_no, chars FROM f""",
     "canonical_fields": f"SELECT ord, CASE WHEN upper({strip('type')}) IN ('SINGLE', 'MULTI', 'JUDGE') THEN upper({strip('type')}) END AS type, CASE WHEN upper({strip('difficulty')}) IN ('EASY', 'HARD') THEN upper({strip('difficulty')}) ELSE 'MEDIUM' END AS difficulty, array_to_string(answer, ',') AS answer, array_to_string(list_filter(list_transform(coalesce(tags, []), lambda t: {strip('t')}), lambda t: t <> '' AND t NOT IN ('高频', '中频', '低频')), '|') AS content_tags, array_to_string({FREQ}, '|') AS freq_tags, len(list_filter(coalesce(options, []), lambda o: regexp_matches(coalesce(o.content, ''), '^{WS}*(?:[0-9０-９]|[（(]?[一二三四五六七八九][)）])'))) > 0 AS ordinal FROM clean",
 }
 SQL["batch_sizes"] = "SELECT batch_no, count(*) AS slices, sum(chars)::BIGINT AS chars FROM (" + SQL["batches"] + ") GROUP BY batch_no"
+
+
+# the rules of a question, stated again in SQL
+
+
+def _among(words: tuple[str, ...]) -> str:
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+
+def _named(names: dict[str, str], key: str) -> str:
+    return f"CASE {key} " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in names.items()) + " END"
+
+
+def _said(*rules: tuple[str, str]) -> str:
+    """A list of the names of the rules that hold."""
+    return "list_filter([" + ", ".join(f"CASE WHEN {test} THEN '{name}' END" for name, test in rules) + "], lambda m: m IS NOT NULL)"
+
+
+def _per(items: str, test: str, name: str) -> str:
+    return f"list_transform(list_filter({items}, lambda o: {test}), lambda o: '{name}')"
+
+
+_ITEMS = rf"""
+WITH raw AS (
+  SELECT *, coalesce({_named(TYPE_NAMES, norm('type'))}, CASE WHEN upper({strip('type')}) IN {_among(TYPES)} THEN upper({strip('type')}) END) AS kind, {strip("coalesce(stem, '')")} AS s,
+    coalesce({_named(DIFFICULTY_NAMES, norm('difficulty'))}, CASE WHEN upper({strip('difficulty')}) IN {_among(DIFFICULTIES)} THEN upper({strip('difficulty')}) END, 'MEDIUM') AS level,
+    list_transform(coalesce(options, []), lambda o: struct_pack(label := upper({strip("coalesce(o.label, '')")}), content := {strip("coalesce(o.content, '')")})) AS opts,
+    list_distinct(list_filter(list_transform(flatten(list_transform(coalesce(answer, []), lambda a: string_split_regex(coalesce(a, 'None'), '[,，、;；{INNER}]+'))), lambda a: regexp_replace(upper({strip('a')}), '^[（(]?([A-F])[)）]?$', '\1')), lambda a: a IN {_among(LABELS)})) AS given,
+    list_filter(list_transform(coalesce(tags, []), lambda t: {strip('t')}), lambda t: t <> '' AND t NOT IN {_among(FREQUENCIES)}) AS plain_tags, {FREQ} AS freqs,
+    {strip("coalesce(source_quote, '')")} AS quote, {strip("coalesce(analysis, '')")} AS why
+  FROM clean
+),
+sided AS (SELECT *, list_transform(opts, lambda o: CASE WHEN {norm('o.content')} IN {_among(TRUE_WORDS)} THEN 'A' WHEN {norm('o.content')} IN {_among(FALSE_WORDS)} THEN 'B' END) AS sides, list_transform(opts, lambda o: o.label) AS labels,
+  list_filter(list_transform(opts, lambda o: {norm('o.content')}), lambda n: n <> '') AS contents FROM raw),
+turned AS (SELECT *, coalesce(kind = 'JUDGE' AND len(opts) = 2 AND sides[1] <> sides[2] AND labels[1] <> labels[2], false) AS turn FROM sided),
+final AS (SELECT *, CASE WHEN turn THEN list_transform(given, lambda a: CASE a WHEN labels[1] THEN sides[1] WHEN labels[2] THEN sides[2] ELSE a END) ELSE given END AS a, CASE WHEN turn THEN ['A', 'B'] ELSE labels END AS declared,
+  substring(sha1({norm('s')} || '|' || upper(coalesce(kind, 'NONE'))), 1, 16) AS fp, coalesce(score, CASE level WHEN 'EASY' THEN 1 WHEN 'MEDIUM' THEN 2 ELSE 3 END) AS points FROM turned),
+ground AS ({SQL['grounding']}),
+ruled AS (
+  SELECT f.ord, _task_id, fp, flatten([
+    {_said(("type", "kind IS NULL"), ("stem_empty", "s = ''"), ("options_missing", "len(opts) = 0"))},
+    {_per("opts", f"o.label NOT IN {_among(LABELS)}", "label")}, list_transform(list_filter(labels, lambda x, i: list_contains(labels[1:i - 1], x)), lambda x: 'label_repeated'),
+    {_per("opts", "o.content = ''", "option_empty")}, {_per("opts", f"o.content <> '' AND {norm('o.content')} = {norm('s')}", "option_is_stem")},
+    {_said(("option_count", "len(opts) NOT BETWEEN 2 AND 6"), ("options_repeated", "len(list_distinct(contents)) <> len(contents)"), ("answer", "len(a) = 0"), ("answer_undeclared", "len(list_filter(a, lambda x: NOT list_contains(declared, x))) > 0"),
+        ("answer_not_one", "kind IN ('SINGLE', 'JUDGE') AND len(a) > 1"), ("answer_too_few", "kind = 'MULTI' AND len(a) = 1"), ("answer_all", "kind = 'MULTI' AND len(a) > 0 AND len(a) = len(declared)"), ("score", "points NOT BETWEEN 1 AND 100"),
+        ("frequency_missing", "len(freqs) = 0"), ("frequency_many", "len(freqs) > 1"), ("tags_many", "len(plain_tags) + len(freqs) > 10"), ("quote_missing", "quote = ''"), ("quote_long", "length(quote) > 200"))},
+    {_said(("quote_not_found", "quote <> '' AND g.hit = 'none'"))}]) AS errors,
+  flatten([
+    {_said(("stem_long", "length(s) > 500"))}, {_per("opts", "length(o.content) = 1", "option_short")}, {_per("opts", "contains(o.content, '以上都') OR contains(o.content, '以上全部')", "option_all")},
+    {_said(("judge_wording", "kind = 'JUDGE' AND len(opts) = 2 AND NOT turn"), ("options_few", "kind = 'SINGLE' AND len(opts) BETWEEN 1 AND 2"), ("difficulty_missing", "difficulty IS NULL"), ("difficulty_renamed", f"upper({strip('difficulty')}) NOT IN {_among(DIFFICULTIES)}"),
+        ("category_missing", "coalesce(category, '') = ''"), ("content_tags_many", "len(plain_tags) > 5"), ("analysis_missing", "why = ''"), ("quote_elsewhere", "quote <> '' AND g.hit = 'file'"))}]) AS warnings
+  FROM final f JOIN ground g ON f.ord = g.ord
+),
+once AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY fp ORDER BY ord) > 1 AND len(errors) = 0 THEN ['repeated'] ELSE errors END AS e FROM ruled),
+crowd AS (SELECT *, len(e) = 0 AND sum((len(e) = 0)::INT) OVER (PARTITION BY _task_id) > 5 AS crowded FROM once),
+items AS (SELECT ord, e, CASE WHEN crowded THEN list_append(warnings, 'section_over') ELSE warnings END AS w FROM crowd)"""
+_STATUS = "CASE WHEN len(e) > 0 THEN 'fail' WHEN len(w) > 0 THEN 'warn' ELSE 'ok' END"
+SQL["validate_items"] = f"{_ITEMS} SELECT ord, {_STATUS} AS status, array_to_string(e, '|') AS errors, array_to_string(w, '|') AS warnings FROM items"
+SQL["validate_status_counts"] = f"{_ITEMS} SELECT {_STATUS} AS status, count(*) AS n FROM items GROUP BY 1"
+SQL["validate_rule_counts"] = f"{_ITEMS} SELECT kind, rule, count(*) AS n FROM (SELECT 'error' AS kind, unnest(e) AS rule FROM items UNION ALL SELECT 'warning', unnest(w) FROM items) GROUP BY kind, rule"
+
+# answers spread over positions, one question after another
+_BEST = "list_position(f.used[1:q.k], list_min(f.used[1:q.k]))"
+SQL["balance_single"] = rf"""
+WITH RECURSIVE q AS (
+  SELECT row_number() OVER (ORDER BY ord) AS i, ord, options, answer, len(options) AS k FROM clean
+  WHERE type = 'SINGLE' AND len(answer) = 1 AND answer[1] IN {_among(LABELS)} AND list_contains(list_transform(options, lambda o: o.label), answer[1]) AND len(options) BETWEEN 2 AND 6
+    AND len(list_filter(options, lambda o: regexp_matches(coalesce(o.content, ''), '^{WS}*(?:[0-9０-９]|[（(]?[一二三四五六七八九][)）])'))) = 0
+),
+f AS (
+  SELECT 0::BIGINT AS i, 0::BIGINT AS ord, 0::BIGINT AS t, [0, 0, 0, 0, 0, 0] AS used
+  UNION ALL
+  SELECT q.i, q.ord, {_BEST}::BIGINT, list_transform(f.used, lambda x, j: x + CASE WHEN j = {_BEST} THEN 1 ELSE 0 END) FROM f JOIN q ON q.i = f.i + 1
+),
+m AS (SELECT q.ord, f.t, list_transform(list_filter(q.options, lambda o: o.label <> q.answer[1]), lambda o: o.content) AS rest, list_filter(q.options, lambda o: o.label = q.answer[1])[1].content AS hit FROM q JOIN f ON q.ord = f.ord)
+SELECT ord, array_to_string(flatten([rest[1:t - 1], [hit], rest[t:]]), '|') AS options, substring('ABCDEF', t, 1) AS answer FROM m"""
