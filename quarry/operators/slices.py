@@ -15,12 +15,6 @@ TABLE = r"(?m)^[\s\x1c-\x1f]*\|.*\|[\s\x1c-\x1f]*$"
 BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
 
 
-def lines(c: Column) -> Column:
-    """Lines of a text, as splitlines has them; null is none."""
-    got = F.split(F.coalesce(c, F.lit("")), BREAKS)
-    return F.when(F.element_at(got, -1) == "", F.slice(got, 1, F.size(got) - 1)).otherwise(got)
-
-
 def visible_length(c: Column) -> Column:
     """Characters but for whitespace and markup."""
     return F.length(F.regexp_replace(strip_html(c), SPACE + "+", ""))
@@ -36,7 +30,8 @@ def trivial(line: Column) -> Column:
 
 def empty_body(text: Column) -> Column:
     """Whether nothing is left besides headings and trivial lines; true for no lines at all."""
-    body = F.filter(F.transform(lines(strip_html(text)), strip), lambda s: (s != "") & ~s.rlike(r"(?U)\A#{1,6}[\s\x1c-\x1f]+"))
+    # blank lines don't count, so the split needs no trimming, which would repeat the whole expression
+    body = F.filter(F.transform(F.split(strip_html(text), BREAKS), strip), lambda s: (s != "") & ~s.rlike(r"(?U)\A#{1,6}[\s\x1c-\x1f]+"))
     return F.forall(body, trivial)
 
 
@@ -48,9 +43,8 @@ def images(text: Column) -> Column:
 
 
 def assess(chunks: DataFrame, options: Options = Options()) -> DataFrame:
-    """The chunks with title, mode, char_count, has_code, has_table, need and the reason to skip them, null if they are kept."""
-    c = chunks.withColumn("title", clean_title(F.col("title")))
-    c = c.withColumns({"mode": mode(F.col("title"), options.mode), "char_count": visible_length(F.col("text")), "has_code": F.col("text").rlike(FENCE), "has_table": F.col("text").rlike(TABLE)})
+    """The chunks, with clean titles and char_count, with mode, has_code, has_table, need and the reason to skip them, null if they are kept."""
+    c = chunks.withColumns({"mode": mode(F.col("title"), options.mode), "has_code": F.col("text").rlike(FENCE), "has_table": F.col("text").rlike(TABLE)})
     c = c.withColumn("need", F.when(F.col("mode") == "qa", max(30, int(options.min_chars * 0.6))).otherwise(options.min_chars))
     thin = (F.col("char_count") < F.col("need")) & ~F.col("has_code") & ~F.col("has_table")
     return c.withColumn("reason", F.when(empty_body(F.col("text")), "empty").when(thin, "thin"))
