@@ -155,8 +155,8 @@ def crowded_sections(questions: DataFrame, options: Options = Options()) -> Data
 def frequencies(questions: DataFrame) -> DataFrame:
     """(freq, n, share): how often each frequency is given, and its share."""
     by = questions.groupBy(F.coalesce("_freq", F.lit("未标")).alias("freq")).agg(F.count("*").alias("n"))
-    total = by.agg(F.sum("n").alias("total"))  # one row
-    return by.crossJoin(F.broadcast(total)).select("freq", "n", (F.col("n") / F.col("total")).alias("share"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # over the counts, of which there are few
+    return by.select("freq", "n", (F.col("n") / total).alias("share"))
 
 
 def high_alarm(questions: DataFrame, options: Options = Options()) -> DataFrame:
@@ -178,9 +178,8 @@ def top_combination(questions: DataFrame) -> DataFrame:
 
 def skew(questions: DataFrame, options: Options = Options()) -> DataFrame:
     """(label, n, total, ratio): the leading position of SINGLE answers, where it leads too far; else no row."""
-    single = questions.where("type = 'SINGLE'")
-    by = single.select(F.explode("answer").alias("label"), "ord").groupBy("label").agg(F.count("*").alias("n"), F.min("ord").alias("first"))
-    top = by.orderBy(F.desc("n"), "first").limit(1)
-    total = single.agg(F.count("*").alias("total"))
-    joined = top.crossJoin(F.broadcast(total)).select("label", "n", "total", (F.col("n") / F.col("total")).alias("ratio"))
-    return joined.where((F.col("total") >= 10) & (F.col("ratio") > options.position_share))
+    answers = questions.where("type = 'SINGLE'").groupBy("answer").agg(F.count("*").alias("n"), F.min("ord").alias("first"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # over the counts of the answers given, of which there are few
+    by = answers.withColumn("total", total).select(F.explode("answer").alias("label"), "n", "first", "total").groupBy("label").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("total").alias("total"))
+    top = by.orderBy(F.desc("n"), "first").limit(1).select("label", "n", "total", (F.col("n") / F.col("total")).alias("ratio"))
+    return top.where((F.col("total") >= 10) & (F.col("ratio") > options.position_share))
