@@ -1,159 +1,27 @@
 """Problem 5: groups of questions that differ by small edits, additions or another order.
 
-A sparse matrix product. The incidence matrix has a row per class of equal questions and a column per n-gram: windows of
-WIDTH bytes of UTF-8, so that a column says as much in any script, chosen by winnowing. The product counts the columns that
-two rows share, block by block: a block is the columns of one partition, sorted, and streamed through numpy; pairs of rows
-are added up over blocks, and dropped below the bounds that the sizes give. What is left is verified by the definition itself.
-
-The bounds: alike rows have sizes within SHARE / (2 - SHARE) of one another, and share COUNTED of the fewer windows at least.
-The second follows from the kind of edit, not from the definition: over all pairs of the test data, by brute force, the least
-share is 0.24 of all windows. Any run of WIDTH + REACH - 1 bytes in common is certain to give a common column.
-
-No column is dropped for being frequent. A column of more than HOT rows waits until its rows' other columns are counted: a row
-may leave out its most frequent columns only while they are fewer than SLACK of its windows, so that a pair that shares
-SLACK + COUNTED still shares COUNTED among the others. The few that remain are joined as they are, and AQE splits a skewed one.
+A sparse matrix product. The incidence matrix has a row per class of equal questions and a column per two-character sequence; of
+a row only the rarest columns are kept, as many as the definition asks for (``prefixes``). The product is taken block by block: a
+block is the columns of one partition, sorted, and streamed through numpy; pairs of rows are dropped by the bounds that sizes,
+positions and parities give. All bounds follow from the definition, so no pair is lost, however short its parts and wherever
+its edits are. What is left is verified by the definition itself.
 
 Defined cases: see ``questions``. Repeated rows form pairs with one another and with all that their class is alike to.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.questions import SHARE, mixed, plain_bytes, prepare, verified, windows
-
-WIDTH, REACH = 18, 12
-#: Questions of up to SMALL_TO two-character sequences have small columns, those above SMALL_FROM the others; between them both,
-#: so that alike ones, whose sizes differ by less than SMALL_TO / SMALL_FROM, always have one kind in common.
-SMALL_FROM, SMALL_TO = 12, 24
-SMALL_WIDTH, SMALL_REACH = 6, 2
-SLACK, COUNTED = 0.15, 0.12
-HOT = 64
-
-
-def incidence(prepared: DataFrame) -> DataFrame:
-    """(col, cls, size, n): the columns of each class; n is how many it has. Kinds have no column in common."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            _, first = np.unique(b.column(1).to_numpy(), return_index=True)  # copies within the batch
-            b = b.take(pa.array(first))
-            cls, size = b.column(1).to_numpy(), b.column(2).to_numpy().astype(np.int32)
-            seed = np.array([sum((k or "").encode()) for k in b.column(0).to_pylist()], np.uint64)
-            text = [plain_bytes(x) for x in b.column(3).to_pylist()]
-            for rows, width, reach in ((np.flatnonzero(size > SMALL_FROM), WIDTH, REACH), (np.flatnonzero(size <= SMALL_TO), SMALL_WIDTH, SMALL_REACH)):
-                own, col = windows([text[i] for i in rows], width, reach)
-                n = np.bincount(own, minlength=len(rows)).astype(np.int32)[own]
-                own = rows[own]
-                with np.errstate(over="ignore"):
-                    col = mixed(col + (seed[own] * np.uint64(64) + np.uint64(width)) * np.uint64(0x9E3779B97F4A7C15))
-                col = (col >> np.uint64(16)).view(np.int64)  # 48 bits: what falls together by chance is only a candidate
-                yield pa.RecordBatch.from_arrays([pa.array(col), pa.array(cls[own]), pa.array(size[own]), pa.array(n)], names=["col", "cls", "size", "n"])
-
-    return prepared.select("kind", "cls", "size", "body").mapInArrow(run, "col long, cls long, size int, n int")
-
-
-def _product(col: np.ndarray, cls: np.ndarray, size: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Pairs of rows within each run of equal columns, by distance in the run, within the size bound."""
-    out = []
-    far = 1
-    index = np.arange(len(col))
-    while True:
-        index = index[index + far < len(col)]
-        index = index[col[index] == col[index + far]]
-        if not len(index):
-            break
-        i, j = index, index + far
-        near = 2 * np.minimum(size[i], size[j]) >= SHARE * (size[i] + size[j]) - 1e-9
-        i, j = i[near], j[near]
-        out.append((np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j]), np.minimum(n[i], n[j])))
-        far += 1
-    if not out:
-        return tuple(np.empty(0, np.int64) for _ in range(3))
-    return tuple(np.concatenate(x) for x in zip(*out))
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial counts of pairs from columns in order; rows of hot columns pass through with a null partner.
-    What is held of a column never exceeds HOT rows beyond one batch."""
-    names = ["ca", "cb", "least", "shared", "col", "size"]
-
-    def pairs(cols: list[np.ndarray]) -> pa.RecordBatch:
-        a, b, least = _product(*cols)
-        order = np.lexsort((b, a))
-        a, b, least = a[order], b[order], least[order]
-        start = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.empty(0, np.int64)
-        counts = np.diff(np.append(start, len(a)))
-        k = len(start)
-        return pa.RecordBatch.from_arrays([pa.array(a[start]), pa.array(b[start]), pa.array(least[start].astype(np.int32)), pa.array(counts.astype(np.int32)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32())], names=names)
-
-    def waiting(cols: list[np.ndarray]) -> pa.RecordBatch:
-        col, cls, size, n = cols
-        return pa.RecordBatch.from_arrays([pa.array(cls), pa.nulls(len(cls), pa.int64()), pa.array(n.astype(np.int32)), pa.nulls(len(cls), pa.int32()), pa.array(col), pa.array(size.astype(np.int32))], names=names)
-
-    def settle(cols: list[np.ndarray], hot: int | None) -> Iterator[pa.RecordBatch]:
-        if not len(cols[0]):
-            return
-        fresh = np.append(True, (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]))  # copies from other batches
-        cols = [c[fresh] for c in cols]
-        start = np.flatnonzero(np.append(True, cols[0][1:] != cols[0][:-1]))
-        count = np.diff(np.append(start, len(cols[0])))
-        many = np.repeat((count > HOT) | (cols[0][start] == hot if hot is not None else False), count)
-        single = np.repeat(count == 1, count)
-        if many.any():
-            yield waiting([c[many] for c in cols])
-        rest = ~many & ~single
-        if rest.any():
-            yield pairs([c[rest] for c in cols])
-
-    held: list[np.ndarray] | None = None
-    hot: int | None = None  # the column that has proved hot and may go on
-    for b in batches:
-        cols = [c.to_numpy() for c in b.columns]
-        if held is not None:
-            cols = [np.concatenate(x) for x in zip(held, cols)]
-        if not len(cols[0]):
-            continue
-        last = cols[0][-1]
-        at = int(np.searchsorted(cols[0], last))
-        if len(cols[0]) - at > 2 * HOT or last == hot:
-            yield from settle(cols, int(last) if len(np.unique(cols[1][at:])) > HOT or last == hot else None)
-            if len(np.unique(cols[1][at:])) > HOT or last == hot:
-                hot, held = int(last), None
-                continue
-            fresh = np.flatnonzero(np.append(True, cols[1][at + 1 :] != cols[1][at:-1])) + at  # copies only: keep one each
-            held = [c[fresh] for c in cols]
-            continue
-        yield from settle([c[:at] for c in cols], hot)
-        held = [c[at:] for c in cols]
-    if held is not None:
-        yield from settle(held, hot)
-
+from quarry.llm.prefixes import frequencies, postings, within
+from quarry.llm.questions import prepare, verified
 
 def candidates(prepared: DataFrame) -> DataFrame:
-    """(ca, cb), ca < cb: pairs of classes that share enough columns."""
-    columns = incidence(prepared).repartition("col").sortWithinPartitions("col", "cls")
-    counted = columns.mapInArrow(_blocks, "ca long, cb long, least int, shared int, col long, size int").persist(StorageLevel.MEMORY_AND_DISK)
-    cold = counted.where("cb IS NOT NULL").select("ca", "cb", "least", "shared")
-    # of a row's frequent columns, the most frequent are left out as far as SLACK allows
-    hot = counted.where("cb IS NULL").select("col", F.col("ca").alias("cls"), "size", F.col("least").alias("n")).distinct()
-    df = hot.groupBy("col").agg(F.count("*").alias("df"))
-    by_row = Window.partitionBy("cls").orderBy(F.desc("df"), "col")
-    # ranked from the most frequent on: the first floor(SLACK * n) are left out
-    kept = hot.join(df, "col").withColumn("rank", F.row_number().over(by_row)).where(F.col("rank") > F.floor(F.col("n") * SLACK))
-    x = kept.select("col", F.col("cls").alias("ca"), F.col("size").alias("size_a"), F.col("n").alias("n_a"))
-    y = kept.select("col", F.col("cls").alias("cb"), F.col("size").alias("size_b"), F.col("n").alias("n_b"))
-    near = 2 * F.least("size_a", "size_b") >= SHARE * (F.col("size_a") + F.col("size_b")) - 1e-9
-    warm = x.join(y, "col").where(F.col("ca") < F.col("cb")).where(near).select("ca", "cb", F.least("n_a", "n_b").alias("least"), F.lit(1).alias("shared"))
-    total = cold.unionByName(warm).groupBy("ca", "cb").agg(F.first("least").alias("least"), F.sum("shared").alias("shared"))
-    enough = F.greatest(F.least(F.lit(2), "least"), F.floor(F.col("least") * COUNTED))
-    return total.where(F.col("shared") >= enough).select("ca", "cb")
+    """(ca, cb), ca < cb: pairs of classes that can be alike."""
+    often = frequencies(prepared)
+    return within(postings(prepared, often), often)
 
 
 def alike_classes(prepared: DataFrame) -> DataFrame:

@@ -1,0 +1,245 @@
+"""Pairs of questions that can be alike, by prefixes of their two-character sequences; no pair that is alike is left out.
+
+A class of questions is the set of its tokens: two-character sequence, number of its repetition, kind. Sizes a and b, c tokens in
+common: alike means 2c >= SHARE(a + b), hence c >= SHARE / (2 - SHARE) a. In any one order of all tokens, two sets with c in common
+have a common token before which nothing is common, so each has c tokens from it on: only the first a - c + 1 tokens are posted,
+and a pair counts only if what is left of both from the token on reaches SHARE(a + b) / 2. The order is from rare to frequent, by
+counts in a table of fixed size: what falls together in it blurs the order, and any order is right.
+
+A posting carries a fingerprint of BITS bits, each the parity of the tokens that hash to it. Two fingerprints differ in no more bits
+than the sets do in tokens, a + b - 2c, so the test of the Hamming distance loses nothing either; nor does it on fingerprints that
+are folded to half their bits, which is all that questions of up to SMALL tokens have.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quarry.llm.questions import CLAUSE, SHARE, mixed
+
+BITS, SMALL = 512, 80
+#: Table of counts: 2 ** SLOTS entries, whatever the data.
+SLOTS = 20
+#: Rows of a column that are met in one place; columns with more tokens are split into squares.
+LIMIT = 1 << 18
+#: Pairs held at a time.
+TILE = 1 << 21
+CHUNK = 2000
+EDGE = 1e-6
+POSTING = "col long, cls long, size int, rest int, print binary"
+
+
+def tokens(kinds: list[str | None], bodies: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, token), sorted by row: hashes of the two-character sequences, repetitions told apart."""
+    text = "".join(b.replace(CLAUSE, "") + "\x1f" for b in bodies)
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    lens = np.array([len(b) - b.count(CLAUSE) + 1 for b in bodies])
+    row = np.repeat(np.arange(len(bodies)), lens)
+    seed = np.array([hash_of(k) for k in kinds], np.uint64)
+    ok = (code[:-1] != 0x1F) & (code[1:] != 0x1F)
+    with np.errstate(over="ignore"):
+        gram = mixed((code[:-1] * np.uint64(0x110000) + code[1:] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + seed[row[:-1]])
+    row, gram = row[:-1][ok], gram[ok]
+    order = np.lexsort((gram, row))
+    row, gram = row[order], gram[order]
+    fresh = np.append(True, (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])) if len(row) else np.empty(0, bool)
+    start = np.flatnonzero(fresh)
+    nth = np.arange(len(row)) - np.repeat(start, np.diff(np.append(start, len(row))))
+    with np.errstate(over="ignore"):
+        return row, mixed(gram + nth.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def hash_of(kind: str | None) -> int:
+    """A number for each kind; null is a kind of its own."""
+    h = 7 if kind is None else 11
+    for b in (kind or "").encode("utf-8", "surrogatepass"):
+        h = (h * 1099511628211 + b) % (1 << 64)
+    return h
+
+
+def _chunks(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, list, list]]:
+    """(cls, kind, body) of a batch of (kind, cls, body), copies left out, some rows at a time."""
+    for at in range(0, b.num_rows, CHUNK):
+        part = b.slice(at, CHUNK)
+        cls, first = np.unique(part.column(1).to_numpy(), return_index=True)
+        part = part.take(pa.array(first))
+        yield cls, part.column(0).to_pylist(), part.column(2).to_pylist()
+
+
+def frequencies(prepared: DataFrame) -> np.ndarray:
+    """How many tokens fall into each slot; that table is all that comes to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(1 << SLOTS, np.int64)
+        for b in batches:
+            for _, kinds, bodies in _chunks(b):
+                count += np.bincount(slot_of(tokens(kinds, bodies)[1]), minlength=1 << SLOTS)
+        slot = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(count[slot])], names=["slot", "n"])
+
+    got = prepared.select("kind", "cls", "body").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    return table_of(got.column("slot").to_numpy(), got.column("n").to_numpy())
+
+
+def table_of(slot: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The counts as a table."""
+    out = np.zeros(1 << SLOTS, np.int64)
+    out[slot] = n
+    return out
+
+
+def slot_of(token: np.ndarray) -> np.ndarray:
+    return (token >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+
+def postings(prepared: DataFrame, often: np.ndarray) -> DataFrame:
+    """(col, cls, size, rest, print): the first tokens of each class; rest counts the tokens from this one on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for cls, kinds, bodies in _chunks(b):
+                row, token = tokens(kinds, bodies)
+                size = np.bincount(row, minlength=len(cls))
+                odd = np.bincount(row * BITS + (token % np.uint64(BITS)).astype(np.int64), minlength=len(cls) * BITS).reshape(-1, BITS) & 1
+                prints = np.packbits(odd.astype(np.uint8), axis=1)
+                prints = [(p if n > SMALL else p[: len(p) // 2] ^ p[len(p) // 2 :]).tobytes() for p, n in zip(prints, size)]
+                order = np.lexsort((token, often[slot_of(token)], row))
+                token = token[order]
+                rest = size[row] - (np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size))
+                first = rest >= size[row] * SHARE / (2 - SHARE) - EDGE
+                row, token, rest = row[first], token[first], rest[first]
+                held = pa.array(prints, pa.binary()).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(cls[row]), pa.array(size[row].astype(np.int32)), pa.array(rest.astype(np.int32)), held], names=["col", "cls", "size", "rest", "print"])
+
+    return prepared.select("kind", "cls", "body").mapInArrow(run, POSTING)
+
+
+def _split(posted: DataFrame, often: np.ndarray) -> DataFrame:
+    """Columns of more than LIMIT tokens as squares of parts: each two parts of a column meet in one place."""
+    limit = LIMIT
+    if int(often.max(initial=0)) <= limit:
+        return posted
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            col, cls = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()
+            parts = -(-often[slot_of(col)] // limit)
+            times = np.maximum(parts, 1)
+            at = np.repeat(np.arange(len(col)), times)
+            other = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+            own = mixed(cls.view(np.uint64))[at] % np.maximum(parts, 1).astype(np.uint64)[at]
+            low, high = np.minimum(own, other.astype(np.uint64)), np.maximum(own, other.astype(np.uint64))
+            with np.errstate(over="ignore"):
+                key = np.where(times[at] == 1, col[at], mixed(col[at] + (low * np.uint64(1 << 24) + high + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)))
+            out = b.take(pa.array(at))
+            yield out.set_column(0, "col", pa.array(key.view(np.int64)))
+
+    return posted.mapInArrow(run, posted.schema)
+
+
+def _pairs(cols: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one column that pass the bounds; the rows are sorted by column and size. With sides, from 0 to 1."""
+    col, size, cls, rest, side, folded, prints = cols
+    start = np.append(True, col[1:] != col[:-1])
+    number = np.cumsum(start).astype(np.int64) - 1
+    key = number * (1 << 32) + size
+    # how large a partner may be follows from what is left of a row; partners come later, so they are not smaller
+    most = np.floor(rest * 2 / SHARE - size + EDGE).astype(np.int64)
+    low = np.arange(len(col)) + 1
+    n = np.maximum(np.searchsorted(key, number * (1 << 32) + np.clip(most, 0, (1 << 32) - 1), "right") - low, 0)
+    most, size = most.astype(np.int32), size.astype(np.int32)
+    end = np.cumsum(n)
+    at = 0
+    while at < len(n):
+        before = end[at - 1] if at else 0
+        to = max(int(np.searchsorted(end, before + TILE, "right")), at + 1)
+        for part in range(0, int(end[to - 1] - before), TILE):  # only a row with more partners than TILE takes several
+            if to == at + 1:
+                j = np.arange(low[at] + part, low[at] + min(part + TILE, n[at]), dtype=np.int32)
+                times = [len(j)]
+            else:
+                times = n[at:to]
+                j = np.arange(end[to - 1] - before, dtype=np.int32) - np.repeat((end[at:to] - times - before - low[at:to]).astype(np.int32), times)
+            keep = np.flatnonzero(most[j] >= np.repeat(size[at:to], times))
+            i, j = np.repeat(np.arange(at, to, dtype=np.int32), times)[keep], j[keep]
+            if side is not None:
+                keep = np.flatnonzero(side[i] != side[j])
+                i, j = i[keep], j[keep]
+            far = np.floor((size[i] + size[j]) * (1 - SHARE) + EDGE).astype(np.int32)
+            keep = np.flatnonzero(np.bitwise_count(folded[i] ^ folded[j]).sum(axis=1, dtype=np.uint16) <= far)
+            i, j, far = i[keep], j[keep], far[keep]
+            apart = np.bitwise_count(prints[i] ^ prints[j]).sum(axis=1, dtype=np.uint16)
+            keep = ((size[i] <= SMALL) | (size[j] <= SMALL) | (apart <= far)) & (cls[i] != cls[j])
+            i, j = i[keep], j[keep]
+            if side is not None:
+                yield np.where(side[i] == 0, cls[i], cls[j]), np.where(side[i] == 0, cls[j], cls[i])
+            else:
+                yield np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])
+        at = to
+
+
+def _unpacked(prints: pa.Array, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The folded fingerprints and the whole ones, 0 where there is none."""
+    flat = np.frombuffer(b"".join(prints.to_pylist()), np.uint64)
+    half = BITS // 128
+    large = size > SMALL
+    end = np.cumsum(np.where(large, 2 * half, half))
+    whole = np.zeros((len(size), 2 * half), np.uint64)
+    whole[large] = flat[(end[large] - 2 * half)[:, None] + np.arange(2 * half)]
+    folded = whole[:, :half] ^ whole[:, half:]
+    folded[~large] = flat[(end[~large] - half)[:, None] + np.arange(half)]
+    return folded, whole
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(ca, cb) from postings in order; of the last column what is held waits for its end."""
+    waiting: list[list[np.ndarray]] = []
+
+    def settle() -> Iterator[pa.RecordBatch]:
+        cols = [np.concatenate(x) for x in zip(*waiting)]
+        waiting.clear()
+        same = np.append(False, (cols[0][1:] == cols[0][:-1]) & (cols[2][1:] == cols[2][:-1]) & (cols[4][1:] == cols[4][:-1]))  # copies
+        cols = [c[~same] for c in cols]
+        got = list(_pairs(cols if two else [*cols[:4], None, *cols[5:]]))
+        if got:
+            pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*got)], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["ca", "cb"])
+
+    two = False
+    held = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        col, size, cls, rest, side = (b.column(i).to_numpy() for i in range(5))
+        two |= bool(side.min() >= 0)
+        cols = [col, size.astype(np.int64), cls, rest.astype(np.int64), side, *_unpacked(b.column(5), size)]
+        at = int(np.searchsorted(col, col[-1]))
+        held += at
+        if (at or waiting and waiting[-1][0][-1] != col[-1]) and held >= 1 << 16:
+            waiting.append([c[:at] for c in cols])
+            yield from settle()
+            held, cols = 0, [c[at:] for c in cols]
+        held += len(cols[0]) - (at if len(cols[0]) == len(col) else 0)
+        waiting.append(cols)
+    if waiting:
+        yield from settle()
+
+
+def _meet(posted: DataFrame, often: np.ndarray) -> DataFrame:
+    rows = _split(posted.select("col", "cls", "size", "rest", "print", "side"), often).select("col", "size", "cls", "rest", "side", "print")
+    return rows.repartition("col").sortWithinPartitions("col", "size", "cls", "side").mapInArrow(_met, "ca long, cb long").distinct()
+
+
+def within(posted: DataFrame, often: np.ndarray) -> DataFrame:
+    """(ca, cb), ca < cb: pairs of different classes that can be alike."""
+    return _meet(posted.withColumn("side", F.lit(-1)), often)
+
+
+def between(asked: DataFrame, stored: DataFrame, often: np.ndarray) -> DataFrame:
+    """(ca, cb): classes of ``asked`` with different ones of ``stored`` that they can be like."""
+    return _meet(asked.withColumn("side", F.lit(0)).unionByName(stored.withColumn("side", F.lit(1))), often)

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quarry.llm import boosting, confusables, encoding, leakage, markup, mojibake, nearpairs, questions, splitting
+from quarry.llm import boosting, confusables, encoding, leakage, markup, mojibake, nearpairs, prefixes, questions, splitting
 from quarry.llm.common import alike, bigrams, canonical
 from quarry.llm.history import Index, simhash
 
@@ -174,6 +174,31 @@ def test_hot_columns_lose_nothing(spark):
     assert got == {(a, b) for a, b in brute(rows, rows) if a < b}
 
 
+def test_near_pairs_of_short_parts_and_spread_edits(spark, monkeypatch):
+    stem = "whichofthefollowingstatementsaboutindexpagesistrueforalllocks"
+    spread = stem[:15] + "q" + stem[16:30] + "q" + stem[31:45] + "q" + stem[46:]
+    options = [(c, c * 2 + "option word") for c in "ABCD"]
+    short = [(c, f"{w} twelve") for c, w in zip("ABCD", ("alpha", "gamma", "delta", "omega"))]
+    rows = [[1, "JUDGE", stem, None, None], [2, "JUDGE", spread, None, None]]
+    rows += [[3, "SINGLE", "选出关于缓存的说法", options, None], [4, "SINGLE", "以下哪项正确描述它", options, None]]
+    rows += [[5, "MULTI", "twelvechars1", short, None], [6, "MULTI", "twelvecharz1", short[:3] + [("D", "omega twelwe")], None]]
+    rows += [[7, "SINGLE", "何锁", [("A", "a1")], None], [8, "SINGLE", "何锁", [("A", "a1"), ("B", "x")], None]]
+    want = {(a, b) for a, b in brute(rows, rows) if a < b}
+    assert {(1, 2), (3, 4), (5, 6), (7, 8)} <= want
+    rng = random.Random(12)
+    rows += some_questions(rng, 60, 100)
+    rows += [edited(rng, rng.choice(rows[8:68]), 300 + i) for i in range(60)]
+    want = {(a, b) for a, b in brute(rows, rows) if a < b}
+    df = spark.createDataFrame(rows, QUESTIONS)
+    assert {tuple(r) for r in nearpairs.found(df).collect()} == want
+    # columns met in squares, pairs in small tiles
+    prepared = questions.prepare(df)
+    often = prefixes.frequencies(prepared)
+    whole = {tuple(r) for r in prefixes.within(prefixes.postings(prepared, often), often).collect()}
+    monkeypatch.setattr(prefixes, "LIMIT", 20)
+    assert {tuple(r) for r in prefixes.within(prefixes.postings(prepared, often), often).collect()} == whole
+
+
 def test_windows_guarantee():
     a, b = "甲" * 3 + "索引锁日志缓存节点副本" + "乙" * 5, "丙丁索引锁日志缓存节点副本戊"
     row, h = questions.windows([a.encode(), b.encode(), b"", b"short"], 18, 9)
