@@ -1,46 +1,33 @@
 """Problem 3: new questions checked against all that were accepted, without going through them again.
 
-The index keeps bit-difference fingerprints: 64 bits in which each two-character sequence of a text votes for every bit, so
-that texts that differ little differ in few bits. A question has one fingerprint for each piece: each clause of the stem and
-each option; where only the stem counts (JUDGE), for winnowed windows of it instead, as it has few clauses. The 64 bits are four
-blocks, and the index is four tables: table r is keyed by the two blocks that come first after r rotations. A look-up is an
-equi-join on exact block values, then a test of the Hamming distance, then of the texts by the definition. Accepted questions
-are appended: ``Index.append`` writes their rows beside the others', and nothing that is stored is read for it.
+The index keeps postings (``prefixes``): of each accepted question its rarest two-character sequences, as many as the definition
+asks for, each with a fingerprint of the question in which questions that differ little differ in few bits. A look-up is an equi-join
+on the sequence, then the bounds by sizes and positions, a test of the Hamming distance, then of the texts by the definition. All
+bounds follow from the definition: no pair is lost, however short its pieces and wherever its edits are. No list of matches is capped.
 
-One fingerprint of a whole question, as the method has it, can't give the result: questions that are 70 to 80 % alike differ in
-ten to twenty of 64 bits, and a block of 16 seldom stays equal (README has the figures). Pieces do, for small edits
-leave most pieces as they are.
-
-What is looked up: of a question's pieces that the index has, the rarest first, until those left would make up less than TAU
-of the question; a pair whose common pieces make up TAU of the new question is thus never passed over, however frequent its
-pieces are, and a clause that half of all questions share is looked up only where it counts. No list of matches is capped.
+Accepted questions are appended: ``Index.append`` writes their rows beside the others', and nothing that is stored is read for it but
+the order of the sequences, which the first batch sets for all. Later batches may make it less even, never wrong.
 
 Defined cases: see ``questions``; a null ``_fingerprint`` equals none. Copies on either side are expanded at the end.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.questions import CLAUSE, PART, mixed, plain_bytes, prepare, verified, windows
-
-WIDTH, REACH = 18, 9
-#: Pieces of fewer characters say too little to be looked up, unless a question has no others.
-LEAST_CHARS = 5
-TAU = 0.2
-#: Bits in which two pieces may differ.
-BITS = 6
-
+from quarry.llm.prefixes import between, frequencies, postings, table_of
+from quarry.llm.questions import mixed, prepare, verified
 
 def simhash(pieces: list[str]) -> np.ndarray:
-    """64 bits per piece, by majority over its two-character sequences (one character: itself)."""
+    """64 bits per piece, by majority over its two-character sequences (one character: itself). Look-ups don't need it: no number
+    of its bits in which questions that are alike may differ follows from the definition."""
     if not pieces:
         return np.empty(0, np.uint64)
     text = "".join(pieces)
@@ -62,94 +49,60 @@ def simhash(pieces: list[str]) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").reshape(-1).view(np.uint64)
 
 
-def pieces_of(kind: str | None, body: str) -> tuple[list[str], list[float]]:
-    """The distinct clauses and options of a question with their share of it."""
-    pieces = list(dict.fromkeys(c for p in body.split(PART) for c in p.split(CLAUSE)))
-    long = [c for c in pieces if len(c) >= LEAST_CHARS] or pieces
-    total = sum(map(len, pieces))
-    return long, [len(c) / total for c in long]
-
-
-def postings(prepared: DataFrame) -> DataFrame:
-    """(key, bits, cls, weight): two rows per piece, one for each rotation."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 2000):  # votes take 128 bytes a character
-                part = b.slice(at, 2000)
-                cls_in = part.column(1).to_numpy()
-                _, first = np.unique(cls_in, return_index=True)
-                take = pa.array(first)
-                kinds, bodies = part.column(0).take(take).to_pylist(), part.column(2).take(take).to_pylist()
-                texts, row, weight = [], [], []
-                stems = []
-                for i, (kind, body) in enumerate(zip(kinds, bodies)):
-                    if kind == "JUDGE" and len(body) >= WIDTH:
-                        stems.append(i)
-                        continue
-                    t, w = pieces_of(kind, body)
-                    texts += t
-                    weight += w
-                    row += [i] * len(t)
-                own, grams = windows([plain_bytes(bodies[i]) for i in stems], WIDTH, REACH)
-                n = np.bincount(own, minlength=len(stems))
-                stems_at = np.array(stems, np.int64)
-                rows = np.concatenate([np.array(row, np.int64), stems_at[own]])
-                bits = np.concatenate([simhash(texts), grams])
-                first_of = np.unique(np.stack([rows.astype(np.uint64), bits]), axis=1, return_index=True)[1]  # pieces alike in all bits
-                weights = np.concatenate([np.array(weight), 1.0 / n[own] if len(own) else np.empty(0)])[first_of]
-                rows, bits = rows[first_of], bits[first_of]
-                kind_hash = np.array([sum((k or "").encode()) for k in kinds], np.uint64)[rows] if len(rows) else np.empty(0, np.uint64)
-                keys = [(((kind_hash & np.uint64(0xFFF)) << np.uint64(33)) | (np.uint64(r) << np.uint64(32)) | ((bits >> np.uint64(32 * r)) & np.uint64(0xFFFFFFFF))).view(np.int64) for r in range(2)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.tile(bits.view(np.int64), 2)), pa.array(np.tile(cls_in[first][rows], 2)), pa.array(np.tile(weights.astype(np.float32), 2))], names=["key", "bits", "cls", "weight"])
-
-    return prepared.select("kind", "cls", "body").mapInArrow(run, "key long, bits long, cls long, weight float")
-
-
 @dataclass
 class Index:
-    """Accepted questions: (key, bits, cls) in rotated tables, and the members (cls, ord, fingerprint, body)."""
+    """Accepted questions: their postings, the order that these follow, and the members (cls, ord, fingerprint, body)."""
 
     tables: DataFrame
     members: DataFrame
+    often: np.ndarray
+    prepared: DataFrame | None = None
 
     @classmethod
     def of(cls, accepted: DataFrame, key: str = "ord") -> Index:
         """The index of a batch of accepted questions."""
         prepared = prepare(accepted, key).persist(StorageLevel.MEMORY_AND_DISK)
-        return cls(postings(prepared).select("key", "bits", "cls"), _members(accepted, prepared, key))
+        often = frequencies(prepared)
+        return cls(postings(prepared, often), _members(accepted, prepared, key), often, prepared)
 
     @classmethod
     def read(cls, spark: SparkSession, folder: str) -> Index:
         """An index that ``append`` wrote."""
-        return cls(spark.read.parquet(f"{folder}/tables"), spark.read.parquet(f"{folder}/members"))
+        return cls(spark.read.parquet(f"{folder}/tables"), spark.read.parquet(f"{folder}/members"), _order(spark, folder))
 
     def append(self, folder: str) -> None:
-        """Add this batch's rows to the index in ``folder``, sorted by key for pruned look-ups."""
-        self.tables.sortWithinPartitions("key").write.mode("append").parquet(f"{folder}/tables")
+        """Add this batch's rows to the index in ``folder``, sorted by column for pruned look-ups."""
+        if self.prepared is None:
+            raise ValueError("only the index of a batch can be appended")
+        spark = self.members.sparkSession
+        try:
+            tables = postings(self.prepared, _order(spark, folder))
+        except AnalysisException:  # the first batch
+            slot = np.flatnonzero(self.often)
+            spark.createDataFrame(pa.table({"slot": slot, "n": self.often[slot]})).coalesce(1).write.parquet(f"{folder}/order")
+            tables = self.tables
+        tables.sortWithinPartitions("col").write.mode("append").parquet(f"{folder}/tables")
         self.members.write.mode("append").parquet(f"{folder}/members")
 
     def lookup(self, batch: DataFrame, key: str = "ord") -> DataFrame:
         """(bank_ord, clean_ord): which accepted question each row of the batch repeats, by fingerprint or by likeness."""
         prepared = prepare(batch, key).persist(StorageLevel.MEMORY_AND_DISK)
-        stored = self.tables.select("key", "bits", "cls").repartition("key").dropDuplicates().persist(StorageLevel.MEMORY_AND_DISK)
-        known = stored.groupBy("key").agg(F.count("*").alias("n"))
-        asked = postings(prepared).join(known, "key")
-        # per question its pieces from the rarest on, until those left weigh less than TAU
-        by_piece = asked.groupBy("cls", "bits").agg(F.max("weight").alias("weight"), F.min("n").alias("n"), F.collect_set("key").alias("keys"))
-        rarest = Window.partitionBy("cls").orderBy(F.desc("n"), "bits")
-        ranked = by_piece.withColumn("left", F.sum("weight").over(rarest.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        chosen = ranked.where(F.col("left") >= TAU - 1e-6).select(F.col("cls").alias("ca"), F.col("bits").alias("bits_a"), F.explode("keys").alias("key"))
-        hits = chosen.join(stored, "key").where(F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits"))) <= BITS).select("ca", F.col("cls").alias("cb")).distinct().persist(StorageLevel.MEMORY_AND_DISK)
-        same = hits.where("ca = cb")
+        hits = between(postings(prepared, self.often), self.tables, self.often).persist(StorageLevel.MEMORY_AND_DISK)
+        classes = prepared.select("cls").distinct().join(self.members.select("cls").distinct(), "cls")
+        same = classes.select(F.col("cls").alias("ca"), F.col("cls").alias("cb"))
         ours = prepared.join(hits.select(F.col("ca").alias("cls")).distinct(), "cls", "left_semi").select("cls", "body").dropDuplicates(["cls"])
         theirs = self.members.select("cls", "body").join(hits.select(F.col("cb").alias("cls")).distinct(), "cls", "left_semi").dropDuplicates(["cls"])
-        pairs = verified(hits.where("ca <> cb"), ours, theirs).unionByName(same)
+        pairs = verified(hits, ours, theirs).unionByName(same)
         alike = pairs.join(prepared.where("size > 0").select(F.col("cls").alias("ca"), F.col("ord").alias("clean_ord")), "ca").join(self.members.select(F.col("cls").alias("cb"), F.col("ord").alias("bank_ord")), "cb").select("bank_ord", "clean_ord")
         printed = self.members.select("fingerprint", F.col("ord").alias("bank_ord")).join(batch.select(F.col("_fingerprint").alias("fingerprint"), F.col(key).cast("long").alias("clean_ord")), "fingerprint").select("bank_ord", "clean_ord")
         return alike.unionByName(printed).distinct()
 
 
+def _order(spark: SparkSession, folder: str) -> np.ndarray:
+    got = spark.read.parquet(f"{folder}/order").toArrow()
+    return table_of(got.column("slot").to_numpy(), got.column("n").to_numpy())
+
+
 def _members(accepted: DataFrame, prepared: DataFrame, key: str) -> DataFrame:
     prints = accepted.select(F.col(key).cast("long").alias("ord"), F.col("_fingerprint").alias("fingerprint"))
     return prints.join(prepared.select("ord", "cls", "body"), "ord", "left")

@@ -142,17 +142,19 @@ def _split(posted: DataFrame, often: np.ndarray) -> DataFrame:
     return posted.mapInArrow(run, posted.schema)
 
 
-def _pairs(cols: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows of one column that pass the bounds; the rows are sorted by column and size. With sides, from 0 to 1."""
-    col, size, cls, rest, side, folded, prints = cols
-    start = np.append(True, col[1:] != col[:-1])
-    number = np.cumsum(start).astype(np.int64) - 1
-    key = number * (1 << 32) + size
-    # how large a partner may be follows from what is left of a row; partners come later, so they are not smaller
-    most = np.floor(rest * 2 / SHARE - size + EDGE).astype(np.int64)
-    low = np.arange(len(col)) + 1
+def _pairs(x: list[np.ndarray], y: list[np.ndarray] | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of classes, of x with y or of x among itself, from rows of one column that pass the bounds; both sorted by column and size."""
+    col, size, cls, _, most, folded, prints = x
+    ycol, ysize, ycls, _, ymost, yfolded, yprints = x if y is None else y
+    names = np.union1d(col, ycol)
+    number, ynumber = np.searchsorted(names, col), np.searchsorted(names, ycol)
+    key = ynumber * (1 << 32) + ysize
+    if y is None:  # partners come later, so they are not smaller
+        low = np.arange(len(col)) + 1
+    else:
+        low = np.searchsorted(key, number * (1 << 32) + np.ceil(size * SHARE / (2 - SHARE) - EDGE).astype(np.int64), "left")
     n = np.maximum(np.searchsorted(key, number * (1 << 32) + np.clip(most, 0, (1 << 32) - 1), "right") - low, 0)
-    most, size = most.astype(np.int32), size.astype(np.int32)
+    size, ysize, ymost = size.astype(np.int32), ysize.astype(np.int32), ymost.astype(np.int32)
     end = np.cumsum(n)
     at = 0
     while at < len(n):
@@ -165,21 +167,15 @@ def _pairs(cols: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             else:
                 times = n[at:to]
                 j = np.arange(end[to - 1] - before, dtype=np.int32) - np.repeat((end[at:to] - times - before - low[at:to]).astype(np.int32), times)
-            keep = np.flatnonzero(most[j] >= np.repeat(size[at:to], times))
+            keep = np.flatnonzero(ymost[j] >= np.repeat(size[at:to], times))
             i, j = np.repeat(np.arange(at, to, dtype=np.int32), times)[keep], j[keep]
-            if side is not None:
-                keep = np.flatnonzero(side[i] != side[j])
-                i, j = i[keep], j[keep]
-            far = np.floor((size[i] + size[j]) * (1 - SHARE) + EDGE).astype(np.int32)
-            keep = np.flatnonzero(np.bitwise_count(folded[i] ^ folded[j]).sum(axis=1, dtype=np.uint16) <= far)
+            far = np.floor((size[i] + ysize[j]) * (1 - SHARE) + EDGE).astype(np.int32)
+            keep = np.flatnonzero(np.bitwise_count(folded[i] ^ yfolded[j]).sum(axis=1, dtype=np.uint16) <= far)
             i, j, far = i[keep], j[keep], far[keep]
-            apart = np.bitwise_count(prints[i] ^ prints[j]).sum(axis=1, dtype=np.uint16)
-            keep = ((size[i] <= SMALL) | (size[j] <= SMALL) | (apart <= far)) & (cls[i] != cls[j])
-            i, j = i[keep], j[keep]
-            if side is not None:
-                yield np.where(side[i] == 0, cls[i], cls[j]), np.where(side[i] == 0, cls[j], cls[i])
-            else:
-                yield np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])
+            apart = np.bitwise_count(prints[i] ^ yprints[j]).sum(axis=1, dtype=np.uint16)
+            keep = ((size[i] <= SMALL) | (ysize[j] <= SMALL) | (apart <= far)) & (cls[i] != ycls[j])
+            a, b = cls[i[keep]], ycls[j[keep]]
+            yield (np.minimum(a, b), np.maximum(a, b)) if y is None else (a, b)
         at = to
 
 
@@ -196,7 +192,7 @@ def _unpacked(prints: pa.Array, size: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return folded, whole
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _met(batches: Iterator[pa.RecordBatch], two: bool) -> Iterator[pa.RecordBatch]:
     """(ca, cb) from postings in order; of the last column what is held waits for its end."""
     waiting: list[list[np.ndarray]] = []
 
@@ -205,18 +201,19 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting.clear()
         same = np.append(False, (cols[0][1:] == cols[0][:-1]) & (cols[2][1:] == cols[2][:-1]) & (cols[4][1:] == cols[4][:-1]))  # copies
         cols = [c[~same] for c in cols]
-        got = list(_pairs(cols if two else [*cols[:4], None, *cols[5:]]))
+        x, y = ([c[cols[4] == side] for c in cols[:4] + cols[5:]] for side in (0, 1))
+        for rows in (x, y):  # how large a partner may be follows from what is left of a row
+            rows.insert(4, np.floor(rows[3] * 2 / SHARE - rows[1] + EDGE).astype(np.int64))
+        got = list(_pairs(x, y)) if two else list(_pairs(x, None))
         if got:
             pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*got)], axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["ca", "cb"])
 
-    two = False
     held = 0
     for b in batches:
         if not b.num_rows:
             continue
         col, size, cls, rest, side = (b.column(i).to_numpy() for i in range(5))
-        two |= bool(side.min() >= 0)
         cols = [col, size.astype(np.int64), cls, rest.astype(np.int64), side, *_unpacked(b.column(5), size)]
         at = int(np.searchsorted(col, col[-1]))
         held += at
@@ -230,16 +227,16 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from settle()
 
 
-def _meet(posted: DataFrame, often: np.ndarray) -> DataFrame:
+def _meet(posted: DataFrame, often: np.ndarray, two: bool) -> DataFrame:
     rows = _split(posted.select("col", "cls", "size", "rest", "print", "side"), often).select("col", "size", "cls", "rest", "side", "print")
-    return rows.repartition("col").sortWithinPartitions("col", "size", "cls", "side").mapInArrow(_met, "ca long, cb long").distinct()
+    return rows.repartition("col").sortWithinPartitions("col", "size", "cls", "side").mapInArrow(lambda batches: _met(batches, two), "ca long, cb long").distinct()
 
 
 def within(posted: DataFrame, often: np.ndarray) -> DataFrame:
     """(ca, cb), ca < cb: pairs of different classes that can be alike."""
-    return _meet(posted.withColumn("side", F.lit(-1)), often)
+    return _meet(posted.withColumn("side", F.lit(0)), often, False)
 
 
 def between(asked: DataFrame, stored: DataFrame, often: np.ndarray) -> DataFrame:
     """(ca, cb): classes of ``asked`` with different ones of ``stored`` that they can be like."""
-    return _meet(asked.withColumn("side", F.lit(0)).unionByName(stored.withColumn("side", F.lit(1))), often)
+    return _meet(asked.withColumn("side", F.lit(0)).unionByName(stored.withColumn("side", F.lit(1))), often, True)

@@ -220,6 +220,25 @@ def test_history_equals_brute_force(spark):
     assert len(set(got)) >= 0.97 * len(want)
 
 
+def test_history_of_short_pieces_loses_nothing(spark, tmp_path):
+    rng = random.Random(13)
+    options = [(c, o) for c, o in zip("ABCD", ("TCP", "3306", "O(n)", "8080"))]
+    stem = "索引锁日志缓存节点副本分区查询协议线程页块"
+    old = [[1, "SINGLE", stem, options, "x"], *some_questions(rng, 100, 100)]
+    new = [[2, "SINGLE", stem[:9] + "甲" + stem[10:], options, "y"], [3, "SINGLE", stem, options, "z"]]
+    new += [[4, "SINGLE", stem[:6] + "甲" + stem[7:13] + "乙" + stem[14:], options, None]]
+    new += [edited(rng, rng.choice(old[1:]), 1000 + i) for i in range(60)]
+    want = brute(old, new)
+    assert {(1, 2), (1, 3), (1, 4)} <= want
+    folder = str(tmp_path / "index")
+    for batch in (old[60:], old[:60]):  # the second batch follows the order of the first
+        Index.of(spark.createDataFrame(batch, QUESTIONS)).append(folder)
+    probe = spark.createDataFrame(new, QUESTIONS)
+    prints = {(o[0], n[0]) for o in old for n in new if o[4] is not None and o[4] == n[4]}
+    for index in (Index.of(spark.createDataFrame(old, QUESTIONS)), Index.read(spark, folder)):
+        assert {tuple(r) for r in index.lookup(probe).collect()} == want | prints
+
+
 def test_index_is_appended_not_rebuilt(spark, tmp_path):
     rng = random.Random(11)
     a, b = some_questions(rng, 20), some_questions(rng, 20, 100)
