@@ -37,6 +37,26 @@ def ratio(a: Column, b: Column, least: float = 0.0) -> Column:
     return _ratio(a, b, F.lit(float(least)))
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _parities(texts: pd.Series) -> pd.Series:
+    """256 bits per text, each the parity of the characters that fall on it, repetitions told apart."""
+    out = []
+    for t in texts:
+        bits = 0
+        for c, n in Counter(t or "").items():
+            for i in range(n):
+                bits ^= 1 << ((ord(c) * 0x9E3779B97F4A7C15 + i * 0xD6E8FEB86659FD93) % (1 << 64) >> 56)
+        out.append([((bits >> s) + (1 << 63)) % (1 << 64) - (1 << 63) for s in (0, 64, 128, 192)])
+    return pd.Series(out)
+
+
+def _can_reach(la: Column, lb: Column, pa: Column, pb: Column, least: float) -> Column:
+    """Whether lengths and parities leave room for a ratio of ``least``: the parities differ in no more bits than the texts do in
+    characters, and those are at most 1 - least of all."""
+    apart = sum((F.bit_count(pa[i].bitwiseXOR(pb[i])) for i in range(1, 4)), F.bit_count(pa[0].bitwiseXOR(pb[0])))
+    return (2.0 * F.least(la, lb) >= least * (la + lb) - 1e-9) & (apart <= (1 - least) * (la + lb) + 1e-9)
+
+
 def _runs(c: Column) -> Column:
     """Distinct runs of RUN characters; a shorter text is one run."""
     n = F.length(c)
@@ -81,21 +101,22 @@ def fuzzy_edges(incoming: DataFrame, bank: DataFrame, least: float = 0.75, judge
     """(ord, bank_ord, score): half stem ratio, half Jaccard of options, at least ``least``, for questions of one type.
 
     As the stem's part is a half at most, the options' Jaccard must reach 2·least - 1: such pairs share a normal option, and are
-    found by an equi-join on the rarer half of them. JUDGE questions share both options all of them: they are brought together by runs of the stem."""
+    found by an equi-join on the rarer half of them. As the options' part is a half at most too, so must the ratio of the stems: pairs
+    whose lengths or characters rule that out are dropped within the join. JUDGE questions share both options all of them, so
+    that is all that holds them apart; each is met with each, and no run of the stem is asked for."""
     floor = 2 * least - 1
     sides = []
     for df, key in ((incoming, "ord"), (bank, "bank_ord")):
         sides.append(df.select(F.col("ord").alias(key), F.coalesce("type", F.lit("")).alias("type"), norm(F.col("stem")).alias("stem"), option_set(F.col("options")).alias("opts")))
     a, b = sides
-    keys = lambda s: F.when(s["type"] == "JUDGE", _runs(s["stem"])).otherwise(s["opts"])
-    ka = a.select("ord", F.size("opts").alias("n_a"), F.explode(keys(a)).alias("k"), "type", F.length("stem").alias("l_a")).select("ord", "n_a", "l_a", "type", F.xxhash64("type", "k").alias("key"))
-    kb = b.select("bank_ord", F.size("opts").alias("n_b"), F.explode(keys(b)).alias("k"), "type", F.length("stem").alias("l_b")).select("bank_ord", "n_b", "l_b", F.xxhash64("type", "k").alias("key"))
+    ka, kb = (s.select(key, F.size("opts").alias(f"n_{x}"), F.length("stem").alias(f"l_{x}"), _parities("stem").alias(f"p_{x}"), "type", F.explode("opts").alias("k")).select(key, f"n_{x}", f"l_{x}", f"p_{x}", F.xxhash64("type", "k").alias("key")) for s, key, x in ((a, "ord", "a"), (b, "bank_ord", "b")))
     # a question needs only its rarest keys: with floor f of n options, any n - ceil(f·n) + 1 hold a common one
     df = kb.groupBy("key").agg(F.count("*").alias("df"))
     rank = F.row_number().over(Window.partitionBy("ord").orderBy("df", "key"))
     known = ka.join(df, "key").withColumn("rank", rank)
-    few = F.when(F.col("type") == "JUDGE", 8).otherwise(F.col("n_a") - F.ceil(F.col("n_a") * floor) + 1)
-    pairs = known.where(F.col("rank") <= few).join(kb, "key").select("ord", "bank_ord").distinct()
+    few = F.col("n_a") - F.ceil(F.col("n_a") * floor) + 1
+    near = _can_reach(F.col("l_a"), F.col("l_b"), F.col("p_a"), F.col("p_b"), floor)
+    pairs = known.where(F.col("rank") <= few).join(kb, "key").where(near).select("ord", "bank_ord").distinct()
     full = pairs.join(a, "ord").join(b.select("bank_ord", F.col("type").alias("type_b"), F.col("stem").alias("stem_b"), F.col("opts").alias("opts_b")), "bank_ord").where("type = type_b")
     union = F.size(F.array_union("opts", "opts_b"))
     jaccard = F.when(union > 0, F.size(F.array_intersect("opts", "opts_b")) / union).otherwise(0.0)

@@ -163,6 +163,24 @@ def test_merge_equals_brute_force(spark):
     assert got == want and len(set(want.values())) == 4
 
 
+def test_fuzzy_edges_of_judge_equal_brute_force(spark):
+    rng = random.Random(7)
+    two = [("A", "正确"), ("B", "错误")]
+    word = lambda k: "".join(rng.choice("甲乙丙丁戊己庚辛壬癸子丑寅卯辰巳午未申酉") for _ in range(k))
+    before, after = "在默认的配置之下，", "总会先于其它写入落盘"
+    terms = [word(11) for _ in range(12)]
+    old = [question(i, type="JUDGE", stem=before + terms[i] + after, options=two) for i in range(8)]
+    old += [question(20 + i, type="JUDGE", stem=terms[8 + i] + "是另一题里才会出现的说法吗", options=two) for i in range(4)]
+    old += [question(30, type="JUDGE", stem="一x二x三x四x五x六x七x八x", options=two), question(31, type="JUDGE", stem=None, options=two)]
+    new = [question(100 + i, type="JUDGE", stem=before + terms[8 + i] + after, options=two) for i in range(4)]
+    new += [question(110, type="JUDGE", stem="一y二y三y四y五y六y七y八y", options=two), question(111, type="JUDGE", stem=word(30), options=two)]
+    got = {(r["ord"], r["bank_ord"]): r["score"] for r in similarity.fuzzy_edges(table(spark, *new), table(spark, *old)).collect()}
+    n = lambda s: "".join((s or "").split()).lower()
+    scores = {(q[0], o[0]): 0.5 * difflib.SequenceMatcher(None, n(q[2]), n(o[2])).ratio() + 0.5 for q in new for o in old}
+    assert got == {k: v for k, v in scores.items() if v >= 0.75}
+    assert {(100, 0), (110, 30)} <= set(got)
+
+
 def test_second_merge_changes_nothing(spark):
     old, new = table(spark, question(1), question(2, _locked=True)), table(spark, question(11, _fingerprint="n", stem="全新的题", options=[("A", "p1"), ("B", "p2")]))
     acted = merge.actions(new, old)
