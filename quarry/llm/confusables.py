@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 RANGES = ((0x21, 0x7E), (0xA0, 0x52F), (0x531, 0x58A), (0x1C80, 0x1C88), (0x1D00, 0x1FFF), (0x2000, 0x206F), (0x2100, 0x218F), (0x2C60, 0x2C7F), (0x2E80, 0x2FD5), (0xA640, 0xA69F), (0xA720, 0xA7FF), (0xAB30, 0xABBF), (0xF900, 0xFAFF), (0xFB00, 0xFB06), (0xFF01, 0xFFEF), (0x1D400, 0x1D7FF), (0x2F800, 0x2FA1D))
 #: Characters that may matter, as a class of Java and Python alike: all but ASCII, the letters and signs of Western languages,
 #: common punctuation and symbols, and the ideographs, kana and full-width punctuation of East Asian text.
-COMMON = "\\x{0}-\\x{7F}\\x{A1}-\\x{AC}\\x{AE}-\\x{17E}\\x{2010}-\\x{2027}\\x{2030}-\\x{205E}\\x{20A0}-\\x{20BF}\\x{2190}-\\x{2BFF}\\x{3000}-\\x{312F}\\x{3190}-\\x{9FFF}\\x{FF01}-\\x{FF0F}\\x{FF1A}-\\x{FF20}\\x{FF3B}-\\x{FF40}\\x{FF5B}-\\x{FF64}"
+COMMON = "\\x{0}-\\x{7F}\\x{A1}-\\x{AC}\\x{AE}-\\x{17E}\\x{2010}-\\x{2027}\\x{2030}-\\x{205E}\\x{20A0}-\\x{20BF}\\x{2190}-\\x{2328}\\x{232B}-\\x{2ADB}\\x{2ADD}-\\x{2BFF}\\x{3000}-\\x{3029}\\x{3030}-\\x{3098}\\x{309B}-\\x{312F}\\x{3190}-\\x{9FFF}\\x{FF01}-\\x{FF0F}\\x{FF1A}-\\x{FF20}\\x{FF3B}-\\x{FF40}\\x{FF5B}-\\x{FF64}"
 INVISIBLE = re.compile("[\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0\U000e0000-\U000e0fff]")
 SPACES = re.compile("[\u00a0\u1680\u2000-\u200a\u202f\u205f]")
 COMPATIBLE = re.compile("[\uff10-\uff19\uff21-\uff3a\uff41-\uff5a\u2e80-\u2fd5\uf900-\ufaff\ufb00-\ufb06\uff66-\uff9f\U0001d400-\U0001d7ff\U0002f800-\U0002fa1d]")

@@ -58,8 +58,8 @@ def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of quotes that look the same and are written differently."""
-    return confusables.groups(table(spark, sf_dir, "clean"), "source_quote")
+    """Words of slices and quotes that look the same and are written differently."""
+    return confusables.groups(_texts(spark, sf_dir), "text")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

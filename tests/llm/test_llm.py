@@ -293,6 +293,17 @@ def test_look_alike_table(spark):
     assert g["n"] == 2 and len(g["forms"]) == 2
 
 
+def test_look_alikes_of_slices_and_composed_signs(spark, tmp_path):
+    from quarry.llm import queries
+
+    spark.createDataFrame([(1, "paypal")], "ord long, text string").write.parquet(str(tmp_path / "tasks.parquet"))
+    spark.createDataFrame([(1, "раураl")], "ord long, source_quote string").write.parquet(str(tmp_path / "clean.parquet"))
+    assert [r["n"] for r in queries.p4_groups(spark, str(tmp_path)).collect()] == [2]
+    df = spark.createDataFrame([(1, "か\u3099"), (2, "は\u309a"), (3, "\u2329x\u232a"), (4, "がぱ〈x〉"), (5, "字\u302e\u302a")], "ord long, text string")
+    found = {r["ord"] for r in confusables.clean(df, ["ord"], "text", only_changed=True).collect()}
+    assert found == {1, 2, 3, 5}
+
+
 # 6: encoding
 
 
