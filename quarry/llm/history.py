@@ -1,12 +1,15 @@
 """Problem 3: new questions checked against all that were accepted, without going through them again.
 
 The index keeps postings (``prefixes``): of each accepted question its rarest two-character sequences, as many as the definition
-asks for, each with a fingerprint of the question in which questions that differ little differ in few bits. A look-up is an equi-join
-on the sequence, then the bounds by sizes and positions, a test of the Hamming distance, then of the texts by the definition. All
-bounds follow from the definition: no pair is lost, however short its pieces and wherever its edits are. No list of matches is capped.
+asks for, each with a bit-difference fingerprint of what follows it in the question. They lie in block tables, a block being what falls
+into one part by the hash of the sequence. A look-up takes the blocks that its sequences fall into, meets those rows, verifies the
+Hamming distance of the fingerprints, then the texts by the definition. All bounds follow from the definition: no pair is lost,
+however short its pieces and wherever its edits are. No list of matches is capped.
 
 Accepted questions are appended: ``Index.append`` writes their rows beside the others', and nothing that is stored is read for it but
-the order of the sequences, which the first batch sets for all. Later batches may make it less even, never wrong.
+the order of the sequences, which the first batch sets for all. Later batches may make it less even, never wrong. A batch has a
+name, and its folders are replaced if it is written again, so that a retried batch is stored once. A look-up reads the folders of
+the blocks it needs (partition pruning), and of the members those that it met.
 
 Defined cases: see ``questions``; a null ``_fingerprint`` equals none. Copies on either side are expanded at the end.
 """
@@ -22,31 +25,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.prefixes import between, frequencies, postings, table_of
-from quarry.llm.questions import mixed, prepare, verified
-
-def simhash(pieces: list[str]) -> np.ndarray:
-    """64 bits per piece, by majority over its two-character sequences (one character: itself). Look-ups don't need it: no number
-    of its bits in which questions that are alike may differ follows from the definition."""
-    if not pieces:
-        return np.empty(0, np.uint64)
-    text = "".join(pieces)
-    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    lens = np.array([len(p) for p in pieces])
-    end = np.cumsum(lens)
-    follow = np.append(code[1:], np.uint64(0))
-    follow[end - 1] = 0
-    single = lens == 1
-    with np.errstate(over="ignore"):
-        h = mixed((code * np.uint64(0x110000) + follow + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-    votes = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int16)
-    last = np.zeros(len(code), bool)
-    last[end - 1] = True
-    last[(end - 1)[single]] = False
-    votes[last] = 0  # the last character begins no sequence
-    total = np.add.reduceat(votes, end - lens, axis=0)
-    bits = 2 * total > np.maximum(lens - 1, 1)[:, None]
-    return np.packbits(bits, axis=1, bitorder="little").reshape(-1).view(np.uint64)
+from quarry.llm.prefixes import between, frequencies, parts_of, postings, table_of
+from quarry.llm.questions import prepare, verified
+
+#: Blocks of a stored index: a batch of a few questions reads few of them.
+BLOCKS = 256
 
 
 @dataclass
@@ -56,46 +39,55 @@ class Index:
     tables: DataFrame
     members: DataFrame
     often: np.ndarray
+    blocks: int
     prepared: DataFrame | None = None
 
     @classmethod
-    def of(cls, accepted: DataFrame, key: str = "ord") -> Index:
+    def of(cls, accepted: DataFrame, key: str = "ord", blocks: int | None = None) -> Index:
         """The index of a batch of accepted questions."""
-        prepared = prepare(accepted, key).persist(StorageLevel.MEMORY_AND_DISK)
-        often = frequencies(prepared)
-        return cls(postings(prepared, often), _members(accepted, prepared, key), often, prepared)
+        prepared = prepare(accepted, key, ["_fingerprint"]).persist(StorageLevel.MEMORY_AND_DISK)
+        often = frequencies(prepared.where("body <> ''"))
+        blocks = blocks or parts_of(2 * often)
+        return cls(postings(prepared.where("body <> ''"), often, blocks, 1), _members(prepared), often, blocks, prepared)
 
     @classmethod
     def read(cls, spark: SparkSession, folder: str) -> Index:
         """An index that ``append`` wrote."""
-        return cls(spark.read.parquet(f"{folder}/tables"), spark.read.parquet(f"{folder}/members"), _order(spark, folder))
+        return cls(spark.read.parquet(f"{folder}/tables"), spark.read.parquet(f"{folder}/members"), _order(spark, folder), BLOCKS)
 
-    def append(self, folder: str) -> None:
-        """Add this batch's rows to the index in ``folder``, sorted by column for pruned look-ups."""
+    def append(self, folder: str, batch: str) -> None:
+        """Add this batch's rows to the index in ``folder``, a folder for each block and batch; those of an earlier try are replaced."""
         if self.prepared is None:
             raise ValueError("only the index of a batch can be appended")
         spark = self.members.sparkSession
         try:
-            tables = postings(self.prepared, _order(spark, folder))
+            often = _order(spark, folder)
         except AnalysisException:  # the first batch
-            slot = np.flatnonzero(self.often)
-            spark.createDataFrame(pa.table({"slot": slot, "n": self.often[slot]})).coalesce(1).write.parquet(f"{folder}/order")
-            tables = self.tables
-        tables.sortWithinPartitions("col").write.mode("append").parquet(f"{folder}/tables")
-        self.members.write.mode("append").parquet(f"{folder}/members")
+            often, slot = self.often, np.flatnonzero(self.often)
+            spark.createDataFrame(pa.table({"slot": slot, "n": often[slot]})).coalesce(1).write.mode("overwrite").parquet(f"{folder}/order")
+        tables = postings(self.prepared.where("body <> ''"), often, BLOCKS, 1).withColumn("batch", F.lit(batch))
+        for rows, name, by in ((tables, "tables", ["batch", "part"]), (self.members.withColumn("batch", F.lit(batch)), "members", ["batch"])):
+            rows.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(f"{folder}/{name}")
 
     def lookup(self, batch: DataFrame, key: str = "ord") -> DataFrame:
         """(bank_ord, clean_ord): which accepted question each row of the batch repeats, by fingerprint or by likeness."""
-        prepared = prepare(batch, key).persist(StorageLevel.MEMORY_AND_DISK)
-        hits = between(postings(prepared, self.often), self.tables, self.often).persist(StorageLevel.MEMORY_AND_DISK)
-        classes = prepared.select("cls").distinct().join(self.members.select("cls").distinct(), "cls")
-        same = classes.select(F.col("cls").alias("ca"), F.col("cls").alias("cb"))
-        ours = prepared.join(hits.select(F.col("ca").alias("cls")).distinct(), "cls", "left_semi").select("cls", "body").dropDuplicates(["cls"])
-        theirs = self.members.select("cls", "body").join(hits.select(F.col("cb").alias("cls")).distinct(), "cls", "left_semi").dropDuplicates(["cls"])
-        pairs = verified(hits, ours, theirs).unionByName(same)
-        alike = pairs.join(prepared.where("size > 0").select(F.col("cls").alias("ca"), F.col("ord").alias("clean_ord")), "ca").join(self.members.select(F.col("cls").alias("cb"), F.col("ord").alias("bank_ord")), "cb").select("bank_ord", "clean_ord")
-        printed = self.members.select("fingerprint", F.col("ord").alias("bank_ord")).join(batch.select(F.col("_fingerprint").alias("fingerprint"), F.col(key).cast("long").alias("clean_ord")), "fingerprint").select("bank_ord", "clean_ord")
-        return alike.unionByName(printed).distinct()
+        prepared = prepare(batch, key, ["_fingerprint"]).persist(StorageLevel.MEMORY_AND_DISK)
+        asked = postings(prepared.where("body <> ''"), self.often, self.blocks, counted=self.prepared is not None)
+        stored = self.tables.select("part", "side", "blob")
+        if self.prepared is None:  # stored: the blocks that this batch needs, of which there are at most so many
+            asked = asked.persist(StorageLevel.MEMORY_AND_DISK)
+            stored = stored.where(F.col("part").isin([r["part"] for r in asked.select("part").distinct().collect()]))
+        hits = between(asked, stored, min(self.blocks, parts_of(2 * self.often))).persist(StorageLevel.MEMORY_AND_DISK)
+        mine = prepared.where("body <> ''").select("cls", "ord", "size", "body")
+        theirs = self.members.where("body <> ''")
+        ours = mine.join(hits.select(F.col("ca").alias("cls")).distinct(), "cls", "left_semi").select("cls", "body").dropDuplicates(["cls"])
+        others = theirs.join(hits.select(F.col("cb").alias("cls")).distinct(), "cls", "left_semi").select("cls", "body").dropDuplicates(["cls"])
+        alike = verified(hits, ours, others)
+        us, them = mine.where("size > 0").select(F.col("cls").alias("ca"), F.col("ord").alias("clean_ord")), theirs.select(F.col("cls").alias("cb"), F.col("ord").alias("bank_ord"))
+        pairs = alike.join(us, "ca").join(them, "cb").select("bank_ord", "clean_ord")
+        same = us.join(them.withColumnRenamed("cb", "ca"), "ca").select("bank_ord", "clean_ord")
+        printed = self.members.select("_fingerprint", F.col("ord").alias("bank_ord")).join(prepared.select("_fingerprint", F.col("ord").alias("clean_ord")), "_fingerprint").select("bank_ord", "clean_ord")
+        return pairs.unionByName(same).unionByName(printed).distinct()
 
 
 def _order(spark: SparkSession, folder: str) -> np.ndarray:
@@ -103,6 +95,5 @@ def _order(spark: SparkSession, folder: str) -> np.ndarray:
     return table_of(got.column("slot").to_numpy(), got.column("n").to_numpy())
 
 
-def _members(accepted: DataFrame, prepared: DataFrame, key: str) -> DataFrame:
-    prints = accepted.select(F.col(key).cast("long").alias("ord"), F.col("_fingerprint").alias("fingerprint"))
-    return prints.join(prepared.select("ord", "cls", "body"), "ord", "left")
+def _members(prepared: DataFrame) -> DataFrame:
+    return prepared.select("cls", "ord", "_fingerprint", "body")

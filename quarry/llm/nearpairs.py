@@ -1,10 +1,10 @@
 """Problem 5: groups of questions that differ by small edits, additions or another order.
 
 A sparse matrix product. The incidence matrix has a row per class of equal questions and a column per two-character sequence; of
-a row only the rarest columns are kept, as many as the definition asks for (``prefixes``). The product is taken block by block: a
-block is the columns of one partition, sorted, and streamed through numpy; pairs of rows are dropped by the bounds that sizes,
-positions and parities give. All bounds follow from the definition, so no pair is lost, however short its parts and wherever
-its edits are. What is left is verified by the definition itself.
+a row only the rarest columns are kept, as many as the definition asks for (``prefixes``). The product is taken block by block, a
+block being the columns of one part; pairs of rows are dropped by the bounds that sizes, places in the row and parities of what
+follows give. All bounds follow from the definition, so no pair is lost, however short its parts and wherever its edits are. What
+is left is verified by the definition itself.
 
 Defined cases: see ``questions``. Repeated rows form pairs with one another and with all that their class is alike to.
 """
@@ -15,13 +15,15 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.prefixes import frequencies, postings, within
+from quarry.llm.prefixes import frequencies, parts_of, postings, within
 from quarry.llm.questions import prepare, verified
 
+
 def candidates(prepared: DataFrame) -> DataFrame:
     """(ca, cb), ca < cb: pairs of classes that can be alike."""
     often = frequencies(prepared)
-    return within(postings(prepared, often), often)
+    parts = parts_of(often)
+    return within(postings(prepared, often, parts), parts)
 
 
 def alike_classes(prepared: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Questions in the form in which they are compared, for the operators on pairs.
 
-``prepare`` gives one slim row per question: key, kind, class and body. The body holds the canonical stem and options, parts
-set apart by U+001F and the clauses of a part by U+001E. Questions of one class are equal but for the order of their options;
-operators on pairs work on classes and expand the members at the end, so that any number of copies costs one row.
+``prepare`` gives one slim row per question: key, kind, class and body. The body holds the canonical stem and options, set apart by
+U+001F. Questions of one class are equal but for the order of their options; operators on pairs work on classes and expand the
+members at the end, so that any number of copies costs one row.
 
 Defined cases: null stems, options and contents count as empty; a question without any letter or digit has an empty body
 and is alike to nothing; a null kind is a kind of its own.
@@ -11,7 +11,6 @@ and is alike to nothing; a null kind is a kind of its own.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,47 +20,39 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import bigrams, alike, canonical, parts_of
 
-PART, CLAUSE = "\x1f", "\x1e"
-#: Signs that end a clause.
-ENDS = re.compile(r"[,.;:?!，。；：？！、【】「」()（）\n]+")
+PART = "\x1f"
 SHARE = 0.7
 
 
 def body_of(kind: str | None, stem: str | None, options: list | None) -> str:
-    """Canonical parts with their clauses; empty ones are left out."""
-    parts = []
-    for p in parts_of(kind, stem, options):
-        clauses = [c for c in map(canonical, ENDS.split(p)) if c]
-        if clauses:
-            parts.append(CLAUSE.join(clauses))
-    return PART.join(parts)
+    """Canonical parts; empty ones are left out."""
+    return PART.join(filter(None, map(canonical, parts_of(kind, stem, options))))
 
 
 def class_of(kind: str | None, body: str) -> int:
     """63 bits of kind and parts, whatever the order of the parts."""
-    parts = sorted(body.replace(CLAUSE, "").split(PART))
-    digest = hashlib.blake2b(PART.join([kind or "", *parts]).encode("utf-8", "surrogatepass"), digest_size=8).digest()
+    digest = hashlib.blake2b(PART.join([kind or "", *sorted(body.split(PART))]).encode("utf-8", "surrogatepass"), digest_size=8).digest()
     return int.from_bytes(digest, "big") >> 1
 
 
-def prepare(df: DataFrame, key: str = "ord") -> DataFrame:
-    """(ord, kind, cls, size, body), without questions whose body is empty; size counts the two-character sequences."""
+def prepare(df: DataFrame, key: str = "ord", also: list[str] | None = None) -> DataFrame:
+    """(ord, kind, cls, size, body), without questions whose body is empty; size counts the two-character sequences. With ``also``,
+    columns that come along, those questions stay."""
+    also = also or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, kinds, classes, sizes, bodies = [], [], [], [], []
-            for k, kind, stem, options in zip(*(c.to_pylist() for c in b.columns)):
-                body = body_of(kind, stem, options)
-                if body:
-                    keys.append(k)
-                    kinds.append(kind)
-                    classes.append(class_of(kind, body))
-                    sizes.append(sum(len(p) - 1 for p in body.replace(CLAUSE, "").split(PART)))
-                    bodies.append(body)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(kinds, pa.string()), pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(bodies, pa.string())], names=["ord", "kind", "cls", "size", "body"])
+            kinds = b.column(1).to_pylist()
+            bodies = [body_of(k, s, o) for k, s, o in zip(kinds, b.column(2).to_pylist(), b.column(3).to_pylist())]
+            out = pa.RecordBatch.from_arrays([
+                *b.columns[:2], pa.array([class_of(k, x) for k, x in zip(kinds, bodies)], pa.int64()),
+                pa.array([len(x) - 2 * x.count(PART) - 1 for x in bodies], pa.int32()), pa.array(bodies, pa.string()), *b.columns[4:],
+            ], names=["ord", "kind", "cls", "size", "body", *also])
+            yield out if also else out.filter(pa.array([x != "" for x in bodies], pa.bool_()))
 
-    slim = df.select(F.col(key).cast("long").alias("ord"), F.col("type").alias("kind"), "stem", "options")
-    return slim.mapInArrow(run, "ord long, kind string, cls long, size int, body string")
+    slim = df.select(F.col(key).cast("long").alias("ord"), F.col("type").alias("kind"), "stem", "options", *also)
+    more = "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in also)
+    return slim.mapInArrow(run, "ord long, kind string, cls long, size int, body string" + more)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -71,46 +62,6 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def windows(bodies: list[bytes], width: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hash) of the selected windows of ``width`` bytes within a part, distinct per row: of any ``reach`` neighbouring
-    windows the one of least hash, so that a run of width + reach - 1 equal bytes always gives an equal hash."""
-    if not bodies:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    lens = np.array([len(b) for b in bodies])
-    buf = np.frombuffer(b"".join(bodies) + b"\x1f" * (width + reach), np.uint8)
-    row = np.append(np.repeat(np.arange(len(bodies)), lens), np.full(width + reach, -1))
-    n = len(buf) - width + 1
-    h = np.zeros(n, np.uint64)
-    wide = (buf.astype(np.uint64) + np.uint64(7)) * np.uint64(0x9E3779B97F4A7C15)
-    with np.errstate(over="ignore"):
-        for i in range(width):
-            h = h * np.uint64(1099511628211) + wide[i : i + n]
-        h = mixed(h)
-    cut = np.concatenate([[0], np.cumsum(buf == 0x1F)])
-    ok = (row[:n] == row[width - 1 :]) & (cut[width:] == cut[:n])
-    top = np.uint64(np.iinfo(np.uint64).max)
-    h[~ok] = top
-    least = h.copy()
-    for i in range(1, reach):
-        least[: n - i] = np.minimum(least[: n - i], h[i:])
-    chosen = np.zeros(n, bool)
-    m = n - reach + 1
-    for i in range(reach):
-        chosen[i : i + m] |= h[i : i + m] == least[:m]
-    chosen &= ok
-    r, g = row[:n][chosen], h[chosen]
-    order = np.lexsort((g, r))
-    r, g = r[order], g[order]
-    first = np.ones(len(r), bool)
-    first[1:] = (r[1:] != r[:-1]) | (g[1:] != g[:-1])
-    return r[first], g[first]
-
-
-def plain_bytes(body: str) -> bytes:
-    """The parts alone, as bytes."""
-    return body.replace(CLAUSE, "").encode("utf-8", "surrogatepass")
-
-
 def verified(pairs: DataFrame, left: DataFrame, right: DataFrame, share: float = SHARE) -> DataFrame:
     """Of the pairs of classes (ca, cb) those that are alike; left and right hold (cls, body), one row per class."""
 
@@ -120,7 +71,7 @@ def verified(pairs: DataFrame, left: DataFrame, right: DataFrame, share: float =
 
             def grams(body: str) -> dict[str, int]:
                 if body not in known:
-                    known[body] = bigrams(body.replace(CLAUSE, "").split(PART))
+                    known[body] = bigrams(body.split(PART))
                 return known[body]
 
             keep = [alike(grams(x), grams(y), share) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
