@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-import tempfile
 import unicodedata
 from collections.abc import Iterable
 
@@ -18,14 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder that spark.checkpoint.dir names; only where it is unset (tests) in one of our own."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
-
-
 def canonical(text: str | None) -> str:
     """Compatibility forms unified, lower case, without whatever is not a letter, digit or underscore; null is empty."""
     if not text:
@@ -51,6 +42,19 @@ def bigrams(parts: Iterable[str]) -> dict[str, int]:
     return counts
 
 
+def numbered(parts: Iterable[str]) -> set[str]:
+    """The same as a set, each repetition with its number, so that what two have in common is the size of an intersection."""
+    grams = [p[i : i + 2] for p in parts for i in range(len(p) - 1)]
+    out = set(grams)
+    if len(out) < len(grams):
+        seen: dict[str, int] = {}
+        for g in grams:
+            n = seen[g] = seen.get(g, 0) + 1
+            if n > 1:
+                out.add(g + str(n))
+    return out
+
+
 def alike(a: dict[str, int], b: dict[str, int], share: float) -> bool:
     """Whether the sequences in common are at least ``share`` of the mean count; two empty rows are not alike."""
     na, nb = sum(a.values()), sum(b.values())

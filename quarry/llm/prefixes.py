@@ -37,7 +37,7 @@ LOAD, PARTS = 1 << 21, 12
 WIDTHS, SPARE = (1, 2, 4, 8), (2, 18, 36)
 WORDS = WIDTHS[-1]
 #: Pairs in a tile; columns below SMALL rows are met together.
-TILE, SMALL = 1 << 14, 64
+TILE, SMALL = 1 << 15, 64
 CHUNK = 4000
 EDGE = 1e-6
 GOLD = np.uint64(0x9E3779B97F4A7C15)

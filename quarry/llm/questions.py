@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import bigrams, alike, canonical, parts_of
+from quarry.llm.common import canonical, numbered, parts_of
 
 PART = "\x1f"
 SHARE = 0.7
@@ -67,14 +67,17 @@ def verified(pairs: DataFrame, left: DataFrame, right: DataFrame, share: float =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            known: dict[str, dict[str, int]] = {}
+            known: dict[str, set[str]] = {}
 
-            def grams(body: str) -> dict[str, int]:
+            def grams(body: str) -> set[str]:
                 if body not in known:
-                    known[body] = bigrams(body.split(PART))
+                    known[body] = numbered(body.split(PART))
                 return known[body]
 
-            keep = [alike(grams(x), grams(y), share) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            keep = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                x, y = grams(x), grams(y)
+                keep.append(2 * len(x & y) >= share * (len(x) + len(y)) - 1e-9 and len(x) + len(y) > 0)
             yield b.select(["ca", "cb"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(left.select(F.col("cls").alias("ca"), F.col("body").alias("body_a")), "ca").join(right.select(F.col("cls").alias("cb"), F.col("body").alias("body_b")), "cb")
