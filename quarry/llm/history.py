@@ -25,7 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.prefixes import between, frequencies, parts_of, postings, table_of
+from quarry.llm.prefixes import between, frequencies, near, parts_of, postings, table_of
 from quarry.llm.questions import prepare, verified
 
 #: Blocks of a stored index: a batch of a few questions reads few of them.
@@ -77,9 +77,9 @@ class Index:
         if self.prepared is None:  # stored: the blocks that this batch needs, of which there are at most so many
             asked = asked.persist(StorageLevel.MEMORY_AND_DISK)
             stored = stored.where(F.col("part").isin([r["part"] for r in asked.select("part").distinct().collect()]))
-        hits = between(asked, stored, min(self.blocks, parts_of(2 * self.often))).persist(StorageLevel.MEMORY_AND_DISK)
-        mine = prepared.where("body <> ''").select("cls", "ord", "size", "body")
+        mine = prepared.where("body <> ''").select("kind", "cls", "ord", "size", "body")
         theirs = self.members.where("body <> ''")
+        hits = near(between(asked, stored, min(self.blocks, parts_of(2 * self.often))), mine, theirs).persist(StorageLevel.MEMORY_AND_DISK)
         ours = mine.join(hits.select(F.col("ca").alias("cls")).distinct(), "cls", "left_semi").select("cls", "body").dropDuplicates(["cls"])
         others = theirs.join(hits.select(F.col("cb").alias("cls")).distinct(), "cls", "left_semi").select("cls", "body").dropDuplicates(["cls"])
         alike = verified(hits, ours, others)
@@ -96,4 +96,4 @@ def _order(spark: SparkSession, folder: str) -> np.ndarray:
 
 
 def _members(prepared: DataFrame) -> DataFrame:
-    return prepared.select("cls", "ord", "_fingerprint", "body")
+    return prepared.select("kind", "cls", "ord", "_fingerprint", "body")

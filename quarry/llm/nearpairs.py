@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.prefixes import frequencies, parts_of, postings, within
+from quarry.llm.prefixes import frequencies, near, parts_of, postings, within
 from quarry.llm.questions import prepare, verified
 
 
@@ -28,7 +28,7 @@ def candidates(prepared: DataFrame) -> DataFrame:
 
 def alike_classes(prepared: DataFrame) -> DataFrame:
     """(ca, cb), ca < cb: the classes that are alike."""
-    pairs = candidates(prepared).persist(StorageLevel.MEMORY_AND_DISK)
+    pairs = near(candidates(prepared), prepared, prepared).persist(StorageLevel.MEMORY_AND_DISK)
     wanted = pairs.select(F.col("ca").alias("cls")).union(pairs.select(F.col("cb").alias("cls"))).distinct()
     bodies = prepared.select("cls", "body").join(wanted, "cls", "left_semi").dropDuplicates(["cls"]).persist(StorageLevel.MEMORY_AND_DISK)
     return verified(pairs, bodies, bodies)

@@ -370,3 +370,24 @@ def within(blobs: DataFrame, tasks: int) -> DataFrame:
 def between(asked: DataFrame, stored: DataFrame, tasks: int) -> DataFrame:
     """(ca, cb): classes of ``asked`` (side 0) with different ones of ``stored`` (side 1) that they can be like."""
     return _meet(asked.unionByName(stored), tasks, True)
+
+
+def near(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """Of the pairs of classes (ca, cb) those whose whole fingerprints differ in no more bits than their sets may; left and right hold
+    (kind, cls, body). What is joined and shuffled are numbers, so that texts are fetched for few."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for cls, kinds, bodies in _chunks(b):
+                row, token = tokens(kinds, bodies)
+                bit = (mixed(token) >> np.uint64(55)).astype(np.int64)
+                odd = (np.bincount(row * 64 * WORDS + bit, minlength=len(cls) * 64 * WORDS) & 1).astype(np.uint8)
+                prints = np.packbits(odd, bitorder="little").view(np.int64).reshape(-1, WORDS)
+                yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(np.bincount(row, minlength=len(cls)).astype(np.int32)), *(pa.array(np.ascontiguousarray(c)) for c in prints.T)], names=["cls", "n", *words])
+
+    words = [f"w{i}" for i in range(WORDS)]
+    schema = "cls long, n int, " + ", ".join(f"{w} long" for w in words)
+    sides = [d.select("kind", "cls", "body").mapInArrow(run, schema).dropDuplicates(["cls"]) for d in ([left] if left is right else [left, right])]
+    a, b = (d.select(F.col("cls").alias(f"c{x}"), *(F.col(c).alias(f"{c}_{x}") for c in ("n", *words))) for d, x in zip((sides[0], sides[-1]), "ab"))
+    apart = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words[1:]), F.bit_count(F.col("w0_a").bitwiseXOR(F.col("w0_b"))))
+    return pairs.join(a, "ca").join(b, "cb").where(apart <= (1 - SHARE) * (F.col("n_a") + F.col("n_b")) + EDGE).select("ca", "cb")
