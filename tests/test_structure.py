@@ -12,16 +12,27 @@ def test_front_matter_cases():
     assert S.front_matter("---\r\na: 1\r\n---\r\nx") == ({"a": "1"}, {}, "x")
 
 
+def heads(body):
+    o = S.outline(body)
+    return list(zip(o.level.tolist(), o.title))
+
+
 def test_headings_in_fences_are_text():
-    found = S.blocks("p\n```\n# no\n```\n# yes\n~~~\n## no\n```\n## seen\n")
-    assert [(b[0], b[1]) for b in found] == [(0, ""), (1, "yes"), (2, "seen")]
-    assert [b[1] for b in S.blocks("```\n# hidden for ever")] == [""]
-    assert S.blocks("") == []
+    assert heads("p\n```\n# no\n```\n# yes\n~~~\n## no\n```\n## seen\n") == [(0, ""), (1, "yes"), (2, "seen")]
+    assert heads("```\n# hidden for ever") == [(0, "")]
+    assert heads("") == [] and heads("#\n##\n#x") == [(0, "")] and heads("#  \n## \ty \r\nz") == [(2, "y")]
 
 
 def test_sections_drop_deeper_headings_but_not_their_lines():
-    got = S.sections(S.blocks("pre\n# A\n## B\nx\n### C\ny\n## D\n"), 2)
-    assert [(t, S.crumbs(p), lines) for p, t, lines in got] == [("", "(开头)", ["pre"]), ("A", "A", []), ("B", "A > B", ["x", "y"]), ("D", "A > D", [])]
+    o = S.outline("pre\n# A\n## B\nx\n### C\ny\n\nz\n## D\n#### E\n# F")
+    got = S.sections(o, 2)
+    assert [(s.title, S.crumbs(s.path), S.paragraphs(o, s)) for s in got] == [("", "(开头)", ["pre"]), ("A", "A", []), ("B", "A > B", ["x\ny", "z"]), ("D", "A > D", []), ("F", "F", [])]
+    assert o.lines().tolist() == [1, 0, 1, 3, 0, 0, 0]
+
+
+def test_path_is_of_the_nearest_headings_above():
+    o = S.outline("## B\nb\n### C\nc\n# A\n### D\nd\n## E\n")
+    assert [[t for _, t in s.path] for s in S.sections(o, 3)] == [["B"], ["B", "C"], ["A"], ["A", "D"], ["A", "E"]]
 
 
 def brute_pack(sizes, limit):
@@ -38,14 +49,15 @@ def test_packing_equals_brute_force():
     rng = random.Random(1)
     for _ in range(200):
         sizes = [rng.randint(1, 30) for _ in range(rng.randint(0, 12))]
-        lines = [x for s in sizes for x in ("a" * s, "")]
-        got = S.chunks([(2, "T")], "T", lines, 40)
+        o = S.outline("## T\n" + "\n".join(x for s in sizes for x in ("a" * s, "")))
+        got = S.chunks(o, S.sections(o, 2)[0], 40)
         assert [[len(p) for p in c.split("\n", 1)[1].split("\n\n")] if "\n" in c else [] for c in got] == brute_pack(sizes, 40)
         assert all(c.startswith("## T（续）" if i else "## T") for i, c in enumerate(got))
 
 
 def test_fences_stay_whole():
-    assert S.paragraphs(["a", "", "```", "x", "", "y", "```", "", "b"]) == [["a"], ["```", "x", "", "y", "```"], ["b"]]
+    o = S.outline("a\n\n```\nx\n\ny\n```\n \nb")
+    assert S.paragraphs(o, S.sections(o, 2)[0]) == ["a", "```\nx\n\ny\n```", "b"]
 
 
 def test_passes_over_rows(spark):
