@@ -1,13 +1,13 @@
-"""Likeness of questions by the ratio of matching runs, with candidates found by equi-joins.
+"""Likeness of questions by the ratio of matching runs, with candidates from bounds that lose no pair.
 
-The ratio itself needs Python; it runs in an Arrow function over the few pairs that pass the exact bounds
-2·min(la, lb) / (la + lb) and 2·|common characters| / (la + lb), neither of which the ratio can exceed.
+The ratio is twice the characters in matching runs over all characters. What matches is common to both texts with its multiplicity,
+so a ratio of t takes a share of t in common: ``overlap`` finds those pairs. It also is a common subsequence, whose greatest length is
+counted bit-parallel; only what passes that goes to the ratio itself, in an Arrow function, as it needs Python.
 """
 
 from __future__ import annotations
 
 import difflib
-from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -15,9 +15,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.text import norm
+from quarry.operators.overlap import Overlap, parts_of
 
-#: Characters of the runs that near-duplicate stems are brought together by, and distance at which one of each text's is kept.
-RUN = 4
+
+def common_subsequence(a: str, b: str) -> int:
+    """Length of the longest common subsequence."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    whole = (1 << len(a)) - 1
+    row = whole
+    for c in b:
+        hit = row & places.get(c, 0)
+        row = (row + hit | row - hit) & whole
+    return len(a) - row.bit_count()
 
 
 @F.pandas_udf(T.DoubleType())
@@ -26,9 +37,10 @@ def _ratio(a: pd.Series, b: pd.Series, least: pd.Series) -> pd.Series:
     for x, y, t in zip(a, b, least):
         if not x or not y:
             out.append(1.0 if not x and not y else 0.0)
-            continue
-        bound = 2 * sum((Counter(x) & Counter(y)).values()) / (len(x) + len(y))
-        out.append(difflib.SequenceMatcher(None, x, y).ratio() if bound >= t else 0.0)
+        elif 2 * common_subsequence(x, y) >= (t - 1e-9) * (len(x) + len(y)):
+            out.append(difflib.SequenceMatcher(None, x, y).ratio())
+        else:
+            out.append(0.0)
     return pd.Series(out, dtype="float64")
 
 
@@ -37,58 +49,29 @@ def ratio(a: Column, b: Column, least: float = 0.0) -> Column:
     return _ratio(a, b, F.lit(float(least)))
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _parities(texts: pd.Series) -> pd.Series:
-    """256 bits per text, each the parity of the characters that fall on it, repetitions told apart."""
-    out = []
-    for t in texts:
-        bits = 0
-        for c, n in Counter(t or "").items():
-            for i in range(n):
-                bits ^= 1 << ((ord(c) * 0x9E3779B97F4A7C15 + i * 0xD6E8FEB86659FD93) % (1 << 64) >> 56)
-        out.append([((bits >> s) + (1 << 63)) % (1 << 64) - (1 << 63) for s in (0, 64, 128, 192)])
-    return pd.Series(out)
-
-
-def _can_reach(la: Column, lb: Column, pa: Column, pb: Column, least: float) -> Column:
-    """Whether lengths and parities leave room for a ratio of ``least``: the parities differ in no more bits than the texts do in
-    characters, and those are at most 1 - least of all."""
-    apart = sum((F.bit_count(pa[i].bitwiseXOR(pb[i])) for i in range(1, 4)), F.bit_count(pa[0].bitwiseXOR(pb[0])))
-    return (2.0 * F.least(la, lb) >= least * (la + lb) - 1e-9) & (apart <= (1 - least) * (la + lb) + 1e-9)
-
-
-def _runs(c: Column) -> Column:
-    """Distinct runs of RUN characters; a shorter text is one run."""
-    n = F.length(c)
-    return F.when(n <= RUN, F.array(c)).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), n - RUN + 1), lambda i: F.substring(c, i, F.lit(RUN)))))
-
-
-def near_duplicates(questions: DataFrame, least: float = 0.85, kept: int = 12) -> DataFrame:
-    """(ord_a, ord_b, ratio): pairs of questions of one type whose stems are nearly equal, earlier one first.
-
-    Candidates share one of a stem's ``kept`` rarest runs among those that occur at all twice, and no pair that does is missed; a
-    pair changed in so many places that no such run is left may be. Stems that are equal in normal form are one class, expanded at
-    the end. Empty stems have no partner. The tests hold it against brute force."""
-    slim = questions.select("ord", F.coalesce("type", F.lit("")).alias("type"), norm(F.col("stem")).alias("s")).where("s <> ''")
-    classes = slim.groupBy("type", "s").agg(F.min("ord").alias("rep"))
-    runs = classes.select("type", "rep", "s", F.explode(_runs(F.col("s"))).alias("run"))
-    keyed = runs.select("rep", F.length("s").alias("n"), F.xxhash64("type", "run").alias("key"))
-    df = keyed.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
-    rarest = Window.partitionBy("rep").orderBy("df", "key")
-    posting = keyed.join(df, "key").withColumn("rank", F.row_number().over(rarest)).where(F.col("rank") <= kept).select("key", "rep", "n")
-    a, b = (posting.select("key", F.col("rep").alias(f"rep_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
-    near = 2.0 * F.least("n_a", "n_b") / (F.col("n_a") + F.col("n_b")) >= least
-    pairs = a.join(b, "key").where((F.col("rep_a") < F.col("rep_b")) & near).select("rep_a", "rep_b").distinct()
-    left = classes.select(F.col("rep").alias("rep_a"), F.col("s").alias("s_a"), F.col("type").alias("t_a"))
-    right = classes.select(F.col("rep").alias("rep_b"), F.col("s").alias("s_b"), F.col("type").alias("t_b"))
-    scored = pairs.join(left, "rep_a").join(right, "rep_b").where("t_a = t_b").select("rep_a", "rep_b", "s_a", "s_b")
+def _classes(texts: DataFrame) -> DataFrame:
+    """(kind, cls, body) of (kind, body): a number for each kind and text."""
+    return texts.select("kind", (F.xxhash64("kind", "body").bitwiseAND(F.lit((1 << 62) - 1))).alias("cls"), "body").distinct()
+
+
+def near_duplicates(questions: DataFrame, least: float = 0.85) -> DataFrame:
+    """(ord_a, ord_b, ratio): pairs of questions of one type whose stems are nearly equal, earlier one first. Stems that are equal in
+    normal form are one class, expanded at the end. Empty stems have no partner. The tests hold it against brute force."""
+    slim = questions.select("ord", F.coalesce("type", F.lit("")).alias("kind"), norm(F.col("stem")).alias("body")).where("body <> ''")
+    classes = _classes(slim).persist()
+    join = Overlap(least, 1)
+    often = join.frequencies(classes)
+    parts = parts_of(often)
+    pairs = join.near(join.within(join.postings(classes, often, parts), parts), classes, classes)
+    left, right = (classes.select(F.col("cls").alias(f"c{x}"), F.col("body").alias(f"s_{x}")) for x in "ab")
     # the ratio depends on the order, so it is taken for members in theirs
-    members = slim.join(classes.select("type", "s", "rep"), ["type", "s"]).select("rep", "ord")
-    ma, mb = (members.select(F.col("rep").alias(f"rep_{x}"), F.col("ord").alias(f"o_{x}")) for x in "ab")
-    both = scored.select("*", ratio(F.col("s_a"), F.col("s_b"), least).alias("forth"), ratio(F.col("s_b"), F.col("s_a"), least).alias("back")).where((F.col("forth") >= least) | (F.col("back") >= least))
-    across = both.join(ma, "rep_a").join(mb, "rep_b").select(F.least("o_a", "o_b").alias("ord_a"), F.greatest("o_a", "o_b").alias("ord_b"), F.when(F.col("o_a") < F.col("o_b"), F.col("forth")).otherwise(F.col("back")).alias("ratio")).where(F.col("ratio") >= least)
-    x, y = (members.select("rep", F.col("ord").alias(n)) for n in ("ord_a", "ord_b"))
-    within = x.join(y, "rep").where("ord_a < ord_b").select("ord_a", "ord_b", F.lit(1.0).alias("ratio"))
+    scored = pairs.join(left, "ca").join(right, "cb")
+    both = scored.select("ca", "cb", ratio(F.col("s_a"), F.col("s_b"), least).alias("forth"), ratio(F.col("s_b"), F.col("s_a"), least).alias("back")).where((F.col("forth") >= least) | (F.col("back") >= least))
+    members = slim.join(classes, ["kind", "body"]).select("cls", "ord")
+    ma, mb = (members.select(F.col("cls").alias(f"c{x}"), F.col("ord").alias(f"o_{x}")) for x in "ab")
+    across = both.join(ma, "ca").join(mb, "cb").select(F.least("o_a", "o_b").alias("ord_a"), F.greatest("o_a", "o_b").alias("ord_b"), F.when(F.col("o_a") < F.col("o_b"), F.col("forth")).otherwise(F.col("back")).alias("ratio")).where(F.col("ratio") >= least)
+    x, y = (members.select("cls", F.col("ord").alias(n)) for n in ("ord_a", "ord_b"))
+    within = x.join(y, "cls").where("ord_a < ord_b").select("ord_a", "ord_b", F.lit(1.0).alias("ratio"))
     return across.unionByName(within)
 
 
@@ -97,32 +80,52 @@ def option_set(options: Column) -> Column:
     return F.array_distinct(F.transform(F.coalesce(options, F.array().cast("array<struct<label:string,content:string>>")), lambda o: norm(o["content"])))
 
 
+def _by_options(a: DataFrame, b: DataFrame, floor: float) -> DataFrame:
+    """(ord, bank_ord): pairs of one type that share one of the rarest options of the new one. With a floor f of n options, any
+    n - ceil(f n) + 1 of them hold a common one."""
+    ka, kb = (s.select(key, F.size("opts").alias(f"n_{x}"), F.length("stem").alias(f"l_{x}"), "type", F.explode("opts").alias("k")).select(key, f"n_{x}", f"l_{x}", F.xxhash64("type", "k").alias("key")) for s, key, x in ((a, "ord", "a"), (b, "bank_ord", "b")))
+    df = kb.groupBy("key").agg(F.count("*").alias("df"))
+    rank = F.row_number().over(Window.partitionBy("ord").orderBy("df", "key"))
+    known = ka.join(df, "key").withColumn("rank", rank).where(F.col("rank") <= F.col("n_a") - F.ceil(F.col("n_a") * floor) + 1)
+    return known.join(kb, "key").where(2.0 * F.least("l_a", "l_b") >= floor * (F.col("l_a") + F.col("l_b")) - 1e-9).select("ord", "bank_ord").distinct()
+
+
+def _by_stems(a: DataFrame, b: DataFrame, floor: float) -> DataFrame:
+    """(ord, bank_ord): pairs of one type whose stems can have a ratio of ``floor``."""
+    named = [s.select(key, F.col("type").alias("kind"), F.col("stem").alias("body")) for s, key in ((a, "ord"), (b, "bank_ord"))]
+    asked, stored = (_classes(s.where("body <> ''")) for s in named)
+    join = Overlap(floor, 1)
+    often = join.frequencies(stored)
+    parts = parts_of(2 * often)
+    pairs = join.near(join.between(join.postings(asked, often, parts, counted=True), join.postings(stored, often, parts, 1), parts), asked, stored)
+    equal = asked.join(stored.select("cls"), "cls").select(F.col("cls").alias("ca"), F.col("cls").alias("cb"))
+    ma, mb = (s.join(c, ["kind", "body"]).select(key, F.col("cls").alias(f"c{x}")) for s, c, key, x in ((named[0], asked, "ord", "a"), (named[1], stored, "bank_ord", "b")))
+    empty = named[0].where("body = ''").select("ord", "kind").join(named[1].where("body = ''").select("bank_ord", "kind"), "kind").select("ord", "bank_ord")
+    return pairs.unionByName(equal).join(ma, "ca").join(mb, "cb").select("ord", "bank_ord").unionByName(empty)
+
+
 def fuzzy_edges(incoming: DataFrame, bank: DataFrame, least: float = 0.75, judge_stem_min: float = 0.0) -> DataFrame:
-    """(ord, bank_ord, score): half stem ratio, half Jaccard of options, at least ``least``, for questions of one type.
+    """(ord, bank_ord, score): half stem ratio, half Jaccard of options, at least ``least``, for questions of one type. ``least`` is above
+    one half, else options or stems alone would do and nothing would bound the pairs.
 
-    As the stem's part is a half at most, the options' Jaccard must reach 2·least - 1: such pairs share a normal option, and are
-    found by an equi-join on the rarer half of them. As the options' part is a half at most too, so must the ratio of the stems: pairs
-    whose lengths or characters rule that out are dropped within the join. JUDGE questions share both options all of them, so
-    that is all that holds them apart; each is met with each, and no run of the stem is asked for."""
+    As each part is a half at most, the other must reach 2·least - 1. Questions with options of their own are met by an equi-join on the
+    rarer of these; JUDGE questions, which all have the same two, by the overlap of their stems. Neither loses a pair. Two empty stems
+    have a ratio of 1."""
     floor = 2 * least - 1
+    if floor <= 0:
+        raise ValueError("least must be above 0.5")
     sides = []
     for df, key in ((incoming, "ord"), (bank, "bank_ord")):
         sides.append(df.select(F.col("ord").alias(key), F.coalesce("type", F.lit("")).alias("type"), norm(F.col("stem")).alias("stem"), option_set(F.col("options")).alias("opts")))
     a, b = sides
-    ka, kb = (s.select(key, F.size("opts").alias(f"n_{x}"), F.length("stem").alias(f"l_{x}"), _parities("stem").alias(f"p_{x}"), "type", F.explode("opts").alias("k")).select(key, f"n_{x}", f"l_{x}", f"p_{x}", F.xxhash64("type", "k").alias("key")) for s, key, x in ((a, "ord", "a"), (b, "bank_ord", "b")))
-    # a question needs only its rarest keys: with floor f of n options, any n - ceil(f·n) + 1 hold a common one
-    df = kb.groupBy("key").agg(F.count("*").alias("df"))
-    rank = F.row_number().over(Window.partitionBy("ord").orderBy("df", "key"))
-    known = ka.join(df, "key").withColumn("rank", rank)
-    few = F.col("n_a") - F.ceil(F.col("n_a") * floor) + 1
-    near = _can_reach(F.col("l_a"), F.col("l_b"), F.col("p_a"), F.col("p_b"), floor)
-    pairs = known.where(F.col("rank") <= few).join(kb, "key").where(near).select("ord", "bank_ord").distinct()
+    judge, other = "type = 'JUDGE'", "type <> 'JUDGE'"
+    pairs = _by_options(a.where(other), b.where(other), floor).unionByName(_by_stems(a.where(judge), b.where(judge), floor))
     full = pairs.join(a, "ord").join(b.select("bank_ord", F.col("type").alias("type_b"), F.col("stem").alias("stem_b"), F.col("opts").alias("opts_b")), "bank_ord").where("type = type_b")
     union = F.size(F.array_union("opts", "opts_b"))
     jaccard = F.when(union > 0, F.size(F.array_intersect("opts", "opts_b")) / union).otherwise(0.0)
     full = full.withColumn("jaccard", jaccard).where(F.col("jaccard") >= floor - 1e-12)
     need = (F.lit(least) - 0.5 * F.col("jaccard")) * 2
-    full = full.where(2.0 * F.least(F.length("stem"), F.length("stem_b")) / F.greatest(F.length("stem") + F.length("stem_b"), F.lit(1)) >= need - 1e-12)
+    full = full.where(2.0 * F.least(F.length("stem"), F.length("stem_b")) >= need * F.length(F.concat("stem", "stem_b")) - 1e-9)
     full = full.withColumn("r", _ratio(F.col("stem"), F.col("stem_b"), need - 1e-9))
     kept = full.withColumn("score", 0.5 * F.col("r") + 0.5 * F.col("jaccard")).where(F.col("score") >= least)
     if judge_stem_min:
