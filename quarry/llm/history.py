@@ -1,6 +1,6 @@
 """Problem 3: new questions checked against all that were accepted, without going through them again.
 
-The index keeps postings (``prefixes``): of each accepted question its rarest two-character sequences, as many as the definition
+The index keeps postings (``operators.overlap``): of each accepted question its rarest two-character sequences, as many as the definition
 asks for, each with a bit-difference fingerprint of what follows it in the question. They lie in block tables, a block being what falls
 into one part by the hash of the sequence. A look-up takes the blocks that its sequences fall into, meets those rows, verifies the
 Hamming distance of the fingerprints, then the texts by the definition. All bounds follow from the definition: no pair is lost,
@@ -25,8 +25,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.prefixes import between, frequencies, near, parts_of, postings, table_of
-from quarry.llm.questions import prepare, verified
+from quarry.llm.questions import JOIN, prepare, verified
+from quarry.operators.overlap import parts_of, table_of
 
 #: Blocks of a stored index: a batch of a few questions reads few of them.
 BLOCKS = 256
@@ -46,9 +46,9 @@ class Index:
     def of(cls, accepted: DataFrame, key: str = "ord", blocks: int | None = None) -> Index:
         """The index of a batch of accepted questions."""
         prepared = prepare(accepted, key, ["_fingerprint"]).persist(StorageLevel.MEMORY_AND_DISK)
-        often = frequencies(prepared.where("body <> ''"))
+        often = JOIN.frequencies(prepared.where("body <> ''"))
         blocks = blocks or parts_of(2 * often)
-        return cls(postings(prepared.where("body <> ''"), often, blocks, 1), _members(prepared), often, blocks, prepared)
+        return cls(JOIN.postings(prepared.where("body <> ''"), often, blocks, 1), _members(prepared), often, blocks, prepared)
 
     @classmethod
     def read(cls, spark: SparkSession, folder: str) -> Index:
@@ -65,21 +65,21 @@ class Index:
         except AnalysisException:  # the first batch
             often, slot = self.often, np.flatnonzero(self.often)
             spark.createDataFrame(pa.table({"slot": slot, "n": often[slot]})).coalesce(1).write.mode("overwrite").parquet(f"{folder}/order")
-        tables = postings(self.prepared.where("body <> ''"), often, BLOCKS, 1).withColumn("batch", F.lit(batch))
+        tables = JOIN.postings(self.prepared.where("body <> ''"), often, BLOCKS, 1).withColumn("batch", F.lit(batch))
         for rows, name, by in ((tables, "tables", ["batch", "part"]), (self.members.withColumn("batch", F.lit(batch)), "members", ["batch"])):
             rows.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(f"{folder}/{name}")
 
     def lookup(self, batch: DataFrame, key: str = "ord") -> DataFrame:
         """(bank_ord, clean_ord): which accepted question each row of the batch repeats, by fingerprint or by likeness."""
         prepared = prepare(batch, key, ["_fingerprint"]).persist(StorageLevel.MEMORY_AND_DISK)
-        asked = postings(prepared.where("body <> ''"), self.often, self.blocks, counted=self.prepared is not None)
+        asked = JOIN.postings(prepared.where("body <> ''"), self.often, self.blocks, counted=self.prepared is not None)
         stored = self.tables.select("part", "side", "blob")
         if self.prepared is None:  # stored: the blocks that this batch needs, of which there are at most so many
             asked = asked.persist(StorageLevel.MEMORY_AND_DISK)
             stored = stored.where(F.col("part").isin([r["part"] for r in asked.select("part").distinct().collect()]))
         mine = prepared.where("body <> ''").select("kind", "cls", "ord", "size", "body")
         theirs = self.members.where("body <> ''")
-        hits = near(between(asked, stored, min(self.blocks, parts_of(2 * self.often))), mine, theirs).persist(StorageLevel.MEMORY_AND_DISK)
+        hits = JOIN.near(JOIN.between(asked, stored, min(self.blocks, parts_of(2 * self.often))), mine, theirs).persist(StorageLevel.MEMORY_AND_DISK)
         ours = mine.join(hits.select(F.col("ca").alias("cls")).distinct(), "cls", "left_semi").select("cls", "body").dropDuplicates(["cls"])
         others = theirs.join(hits.select(F.col("cb").alias("cls")).distinct(), "cls", "left_semi").select("cls", "body").dropDuplicates(["cls"])
         alike = verified(hits, ours, others)

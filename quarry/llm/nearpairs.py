@@ -1,7 +1,7 @@
 """Problem 5: groups of questions that differ by small edits, additions or another order.
 
 A sparse matrix product. The incidence matrix has a row per class of equal questions and a column per two-character sequence; of
-a row only the rarest columns are kept, as many as the definition asks for (``prefixes``). The product is taken block by block, a
+a row only the rarest columns are kept, as many as the definition asks for (``operators.overlap``). The product is taken block by block, a
 block being the columns of one part; pairs of rows are dropped by the bounds that sizes, places in the row and parities of what
 follows give. All bounds follow from the definition, so no pair is lost, however short its parts and wherever its edits are. What
 is left is verified by the definition itself.
@@ -15,20 +15,20 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.prefixes import frequencies, near, parts_of, postings, within
-from quarry.llm.questions import prepare, verified
+from quarry.llm.questions import JOIN, prepare, verified
+from quarry.operators.overlap import parts_of
 
 
 def candidates(prepared: DataFrame) -> DataFrame:
     """(ca, cb), ca < cb: pairs of classes that can be alike."""
-    often = frequencies(prepared)
+    often = JOIN.frequencies(prepared)
     parts = parts_of(often)
-    return within(postings(prepared, often, parts), parts)
+    return JOIN.within(JOIN.postings(prepared, often, parts), parts)
 
 
 def alike_classes(prepared: DataFrame) -> DataFrame:
     """(ca, cb), ca < cb: the classes that are alike."""
-    pairs = near(candidates(prepared), prepared, prepared).persist(StorageLevel.MEMORY_AND_DISK)
+    pairs = JOIN.near(candidates(prepared), prepared, prepared).persist(StorageLevel.MEMORY_AND_DISK)
     wanted = pairs.select(F.col("ca").alias("cls")).union(pairs.select(F.col("cb").alias("cls"))).distinct()
     bodies = prepared.select("cls", "body").join(wanted, "cls", "left_semi").dropDuplicates(["cls"]).persist(StorageLevel.MEMORY_AND_DISK)
     return verified(pairs, bodies, bodies)

@@ -13,15 +13,17 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import canonical, numbered, parts_of
+from quarry.operators.overlap import Overlap
 
 PART = "\x1f"
+#: What is alike: this share of the mean count of two-character sequences.
 SHARE = 0.7
+JOIN = Overlap(SHARE)
 
 
 def body_of(kind: str | None, stem: str | None, options: list | None) -> str:
@@ -55,13 +57,6 @@ def prepare(df: DataFrame, key: str = "ord", also: list[str] | None = None) -> D
     return slim.mapInArrow(run, "ord long, kind string, cls long, size int, body string" + more)
 
 
-def mixed(h: np.ndarray) -> np.ndarray:
-    """Hash bits spread over all 64."""
-    h = h ^ (h >> np.uint64(31))
-    h = h * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(29))
-
-
 def verified(pairs: DataFrame, left: DataFrame, right: DataFrame, share: float = SHARE) -> DataFrame:
     """Of the pairs of classes (ca, cb) those that are alike; left and right hold (cls, body), one row per class."""
 

@@ -7,9 +7,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quarry.llm import boosting, confusables, encoding, history, leakage, markup, mojibake, nearpairs, prefixes, questions, splitting
+from quarry.llm import boosting, confusables, encoding, history, leakage, markup, mojibake, nearpairs, questions, splitting
 from quarry.llm.common import alike, bigrams, canonical
 from quarry.llm.history import Index
+from quarry.operators.overlap import Overlap
 
 QUESTIONS = "ord long, type string, stem string, options array<struct<label:string,content:string>>, _fingerprint string"
 
@@ -174,7 +175,7 @@ def test_hot_columns_lose_nothing(spark):
     assert got == {(a, b) for a, b in brute(rows, rows) if a < b}
 
 
-def test_near_pairs_of_short_parts_and_spread_edits(spark, monkeypatch):
+def test_near_pairs_of_short_parts_and_spread_edits(spark):
     stem = "whichofthefollowingstatementsaboutindexpagesistrueforalllocks"
     spread = stem[:15] + "q" + stem[16:30] + "q" + stem[31:45] + "q" + stem[46:]
     options = [(c, c * 2 + "option word") for c in "ABCD"]
@@ -193,13 +194,12 @@ def test_near_pairs_of_short_parts_and_spread_edits(spark, monkeypatch):
     assert {tuple(r) for r in nearpairs.found(df).collect()} == want
     # columns met in squares, pairs in small tiles
     prepared = questions.prepare(df)
-    often = prefixes.frequencies(prepared)
-    want = {tuple(r) for r in prefixes.within(prefixes.postings(prepared, often, 5), 5).collect()}
-    for limit, small in ((20, prefixes.SMALL), (prefixes.LIMIT, 1)):
-        monkeypatch.setattr(prefixes, "LIMIT", limit)
-        monkeypatch.setattr(prefixes, "SMALL", small)
-        pairs = {(a, b) for a, b in prefixes.within(prefixes.postings(prepared, often, 5), 5).collect()}
-        assert pairs == want
+    often = questions.JOIN.frequencies(prepared)
+    for limit in (20, 1 << 18):
+        join = Overlap(0.7, limit=limit)
+        pairs = join.near(join.within(join.postings(prepared, often, 5), 5), prepared, prepared)
+        names = {r["ord"]: r["cls"] for r in prepared.collect()}
+        assert {tuple(sorted((names[a], names[b]))) for a, b in want if names[a] != names[b]} <= {tuple(r) for r in pairs.collect()}
 
 
 def test_history_equals_brute_force(spark):
