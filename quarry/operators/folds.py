@@ -1,7 +1,8 @@
 """Folds whose result depends on order: batches of slices, and answers spread over positions.
 
-Only slim rows (two or three integers) are folded, streamed in order through one task that keeps a few counters; the full rows are
-joined back. Where every question has equally many options the fold is a round robin, a window over slim rows.
+Batches are cut by searches over running sums. Balancing is sequential by definition: only slim rows (two or three integers) are
+folded, streamed in order through one task that keeps a few counters, and the full rows are joined back. Where every SINGLE question
+has equally many options the fold is a round robin, which running numbers give.
 """
 
 from __future__ import annotations
@@ -17,29 +18,26 @@ from pyspark.sql import functions as F
 
 from quarry.contract import LABELS, Options
 from quarry.functions.text import canonical_answer, labelled, ordinal
+from quarry.operators.lineage import numbered, running
 
 
 def batches(slices: DataFrame, options: Options = Options()) -> DataFrame:
-    """(ord, batch_no, total, chars): slices in order, cut into batches of about equal length, of which there may be fewer than asked."""
+    """(ord, batch_no, chars): slices in order, cut into batches of about equal length, of which there may be fewer than asked. Running
+    sums are taken by ranges; each of the few cuts is one search for the first slice that would exceed the batch's share."""
     slim = slices.select("ord", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("chars"))
-    size = slim.agg(F.count("*").alias("rows"), F.coalesce(F.sum("chars"), F.lit(0)).alias("chars")).first()
+    size = slim.agg(F.count("*").alias("rows"), F.coalesce(F.sum("chars"), F.lit(0)).alias("chars"), F.min("ord").alias("first")).first()
     count = max(1, min(options.batches, size["rows"]))
     target = size["chars"] / count
-
-    def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        no, held, some = 1, 0, False
-        for p in parts:
-            out = []
-            for n in p["chars"]:
-                if some and held + n > target and no < count:
-                    no, held = no + 1, 0
-                held, some = held + n, True
-                out.append(no)
-            yield pd.DataFrame({"ord": p["ord"], "batch_no": out, "chars": p["chars"]})
-
-    # one partition on purpose: the fold is sequential, its rows are two integers, and it holds none of them
-    numbered = slim.repartition(1).sortWithinPartitions("ord").mapInPandas(fold, "ord long, batch_no int, chars long")
-    return numbered
+    summed = running(slim, F.col("chars"), "held", "ord").persist()
+    cuts, first, done = [], size["first"], 0
+    while len(cuts) < count - 1:
+        cut = summed.where((F.col("ord") > first) & (F.col("held") - done > target)).agg(F.min(F.struct("ord", "held", "chars")).alias("m")).first()["m"]
+        if cut is None:
+            break
+        first, done = cut["ord"], cut["held"] - cut["chars"]
+        cuts.append(first)
+    no = sum(((F.col("ord") >= c).cast("int") for c in cuts), F.lit(1))
+    return summed.select("ord", no.alias("batch_no"), "chars")
 
 
 def batch_sizes(numbered: DataFrame) -> DataFrame:
@@ -57,6 +55,9 @@ def eligible(questions: DataFrame, kind: str) -> DataFrame:
 
 def single_targets(slim: DataFrame) -> DataFrame:
     """(ord, target) from (ord, k): for each question the least used of its first k labels, the first of equals."""
+    sizes = [r["k"] for r in slim.select("k").distinct().collect()]  # six at most
+    if len(sizes) == 1:
+        return numbered(slim, "n", "ord").select("ord", ((F.col("n") - 1) % sizes[0]).cast("int").alias("target"))
 
     def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         used = [0] * len(LABELS)

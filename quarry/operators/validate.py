@@ -51,10 +51,14 @@ def rules(c: DataFrame) -> DataFrame:
     labels = F.transform(opts, lambda o: o["label"])
     repeated = F.filter(labels, lambda x, i: (i > 0) & F.array_contains(F.slice(labels, F.lit(1), i), x))
     n = F.size("answer")
+    # of loosely typed files: options that are no objects, scores that are no numbers
+    bad = F.coalesce("bad_options", F.lit(0)) if "bad_options" in c.columns else F.lit(0)
+    odd = F.coalesce("bad_score", F.lit(False)) if "bad_score" in c.columns else F.lit(False)
     declared = F.transform("options", lambda o: o["label"])
     stem = X.norm(F.col("stem"))
     errors = F.concat(
-        _some(F.when(F.col("type").isNull(), "type"), F.when(F.col("stem") == "", "stem_empty"), F.when(size == 0, "options_missing")),
+        _some(F.when(F.col("type").isNull(), "type"), F.when(F.col("stem") == "", "stem_empty"), F.when((size == 0) & (bad == 0), "options_missing")),
+        F.array_repeat(F.lit("option_no_object"), bad),
         _each(opts, lambda o: ~o["label"].isin(*LABELS), "label"),
         F.transform(repeated, lambda _: F.lit("label_repeated")),
         _each(opts, lambda o: o["content"] == "", "option_empty"),
@@ -67,6 +71,7 @@ def rules(c: DataFrame) -> DataFrame:
             F.when((n > 0) & F.col("type").isin("SINGLE", "JUDGE") & (n != 1), "answer_not_one"),
             F.when((n > 0) & (F.col("type") == "MULTI") & (n < 2), "answer_too_few"),
             F.when((n > 0) & (F.col("type") == "MULTI") & (n == F.size("options")), "answer_all"),
+            F.when(odd, "score_no_number"),
             F.when(~F.col("score").between(1, 100), "score"),
             F.when(F.size("freq_tags") == 0, "frequency_missing"),
             F.when(F.size("freq_tags") > 1, "frequency_many"),
@@ -92,21 +97,24 @@ def rules(c: DataFrame) -> DataFrame:
     return c.withColumns({"errors": errors, "warnings": warnings})
 
 
-def last_slices(tasks: DataFrame, order: str = "ord") -> DataFrame:
-    """(id, rel, section, norm_text): of equal ids the last slice, its text in normal form, once for all its questions."""
-    return tasks.groupBy("id").agg(F.max_by(F.struct("rel", "section", "text"), order).alias("t")).select("id", "t.rel", "t.section", X.norm(F.col("t.text")).alias("norm_text"))
+def last_slices(tasks: DataFrame, wanted: DataFrame, order: str = "ord") -> DataFrame:
+    """(id, rel, norm_text): of equal ids the last slice, its text in normal form; only of the ids that are asked for."""
+    asked = tasks.join(wanted.select(F.col("_task_id").alias("id")).distinct(), "id", "left_semi")
+    last = asked.groupBy("id").agg(F.max(order).alias(order))
+    return asked.join(last, ["id", order], "left_semi").select("id", "rel", X.norm(F.col("text")).alias("norm_text"))
 
 
 def grounding(questions: DataFrame, tasks: DataFrame, files: DataFrame, key: str = "ord") -> DataFrame:
     """(key, hit): where the quote stands: in its section, elsewhere in the file, or nowhere. Files are joined for the rows alone that
-    miss their section, so the long texts are shuffled for few."""
+    miss their section, so the long texts are shuffled for few; each wanted file is brought to its normal form once."""
     asked = questions.select(F.col(key), "_task_id", X.norm(F.col("source_quote")).alias("quote"))
-    joined = asked.join(last_slices(tasks), asked["_task_id"] == F.col("id"), "left")
+    joined = asked.join(last_slices(tasks, asked), asked["_task_id"] == F.col("id"), "left")
     judged = joined.select(key, "quote", "rel", ((F.col("quote") != "") & F.coalesce(F.contains("norm_text", "quote"), F.lit(False))).alias("hit"))
     near = judged.where("hit").select(key, F.lit("section").alias("hit"))
     missed = judged.where("NOT hit")
     wanted = missed.where("quote <> '' AND rel IS NOT NULL").select(key, "quote", "rel")
-    inside = wanted.join(files.select("rel", "text").where("text IS NOT NULL"), "rel").where(F.contains(X.norm(F.col("text")), F.col("quote"))).select(key).distinct().withColumn("found", F.lit(True))
+    read = files.where("text IS NOT NULL").join(wanted.select("rel").distinct(), "rel", "left_semi").select("rel", X.norm(F.col("text")).alias("whole"))
+    inside = wanted.join(read, "rel").where(F.contains("whole", "quote")).select(key).distinct().withColumn("found", F.lit(True))
     far = missed.join(inside, key, "left").select(key, F.when(F.col("found"), "file").otherwise("none").alias("hit"))
     return near.unionByName(far)
 
@@ -121,9 +129,11 @@ def validate(questions: DataFrame, tasks: DataFrame, files: DataFrame, options:
     # every row takes its fingerprint, failed ones too; only a row without other errors is marked
     nth = F.row_number().over(Window.partitionBy("_fingerprint").orderBy("ord"))
     joined = joined.withColumn("errors", F.when((nth > 1) & (F.size("errors") == 0), F.array(F.lit("repeated"))).otherwise(F.col("errors")))
-    over = F.sum(F.when(F.size("errors") == 0, 1).otherwise(0)).over(Window.partitionBy("_task_id"))
-    crowded = (F.size("errors") == 0) & (over > options.max_per_section)
-    joined = joined.withColumn("warnings", F.when(crowded, F.concat("warnings", F.array(F.lit("section_over")))).otherwise(F.col("warnings")))
+    # counted with partial sums and joined for the slices alone that have too many: one slice may hold a large part of all rows
+    clear = F.size("errors") == 0
+    over = joined.where(clear).groupBy("_task_id").agg(F.count("*").alias("n")).where(F.col("n") > options.max_per_section).select("_task_id", F.lit(True).alias("over"))
+    joined = joined.join(over, joined["_task_id"].eqNullSafe(over["_task_id"]), "left").drop(over["_task_id"])
+    joined = joined.withColumn("warnings", F.when(clear & F.col("over"), F.concat("warnings", F.array(F.lit("section_over")))).otherwise(F.col("warnings"))).drop("over")
     return joined.withColumn("status", F.when(F.size("errors") > 0, "fail").when(F.size("warnings") > 0, "warn").otherwise("ok"))
 
 
