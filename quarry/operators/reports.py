@@ -52,6 +52,30 @@ def coverage(slices: DataFrame, bank: DataFrame) -> DataFrame:
     return covered(slices, bank).agg(F.count("*").alias("slices"), F.count_if("covered").alias("hit"), F.coalesce(F.avg(F.when(F.col("covered"), 1.0).otherwise(0.0)), F.lit(0.0)).alias("ratio"))
 
 
+def slice_facets(slices: DataFrame) -> DataFrame:
+    """(facet, value, n): slices by category and by mode."""
+    facets = ["category", "mode"]
+    g = slices.select(*(F.coalesce(f, F.lit("")).alias(f) for f in facets)).groupingSets([[f] for f in facets], *facets).agg(F.count("*").alias("n"), F.grouping("category").alias("g"))
+    return g.select(F.when(F.col("g") == 0, "category").otherwise("mode").alias("facet"), F.coalesce(*facets).alias("value"), "n")
+
+
+def slice_totals(slices: DataFrame) -> DataFrame:
+    """(slices, files, chars, pictures): one row; pictures are counted in each slice once."""
+    pictures = F.greatest(F.coalesce(F.size("images"), F.lit(0)), F.lit(0)) if "images" in slices.columns else F.lit(0)
+    return slices.agg(F.count("*").alias("slices"), F.count_distinct("rel").alias("files"), F.coalesce(F.sum("char_count"), F.lit(0)).alias("chars"), F.coalesce(F.sum(pictures), F.lit(0)).alias("pictures"))
+
+
+def added_slices(increment: DataFrame, slices: DataFrame) -> DataFrame:
+    """(id, char_count, mode) of the slices that this run added; an id that is listed twice counts once."""
+    new = increment.where("status = 'added'").select(F.col("task_id").alias("id")).distinct()
+    return slices.select("id", "char_count", "mode").join(new, "id", "left_semi")
+
+
+def uncovered_places(slices: DataFrame, bank: DataFrame) -> DataFrame:
+    """(id, rel, section) of the slices without a question."""
+    return slices.select("id", "rel", "section").join(bank.select(F.col("_task_id").alias("id")).where("id IS NOT NULL"), "id", "left_anti")
+
+
 def contract(bank: DataFrame) -> DataFrame:
     """The public fields alone; a null analysis is empty."""
     return bank.select(*(F.coalesce("analysis", F.lit("")).alias(c) if c == "analysis" else F.col(c) for c in PUBLIC))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -9,7 +11,9 @@ from pyspark.sql import types as T
 
 from quarry.contract import NO_CATEGORY, Options
 from quarry.functions.text import SPACE, clean_title, mode, slug, strip, strip_html, strip_numbering
+from quarry.operators import structure
 
+#: What counts as code, as a table, as an end of line.
 FENCE = r"(?m)^[\s\x1c-\x1f]*(?:```|~~~)"
 TABLE = r"(?m)^[\s\x1c-\x1f]*\|.*\|[\s\x1c-\x1f]*$"
 BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
@@ -61,7 +65,8 @@ def skipped(assessed: DataFrame) -> DataFrame:
 def category(scalars: Column, rel: Column, h1: Column, override: str | None = None) -> Column:
     """Override, front matter, first folder, first heading, or none of them."""
     if override:
-        return F.lit(override)
+        named = F.lit(override)
+        return F.coalesce(F.nullif(clean_title(named), F.lit("")), strip(named))
     keys = [F.nullif(strip(F.try_element_at(scalars, F.lit(k))), F.lit("")) for k in ("category", "分类", "categories")]
     parts = F.split(rel, "/")
     folder = F.when(F.size(parts) > 1, F.nullif(clean_title(strip_numbering(parts[0])), F.lit("")))
@@ -78,13 +83,36 @@ def base_id(rel: Column, title: Column, part: Column, parts: Column) -> Column:
     return F.concat(slug(stem_of(rel)), F.lit("__"), slug(title), F.when(parts > 1, F.format_string("__p%02d", part)).otherwise(""))
 
 
+def _clashing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Ids for rows that come by family and in order: the first free one of base, base-2, base-3 …"""
+    family, taken, last = None, set(), {}
+    for b in batches:
+        ids = []
+        for f, base in zip(b["family"], b["base"]):
+            if f != family:
+                family, taken, last = f, set(), {}
+            name, n = base, last.get(base, 1)
+            while name in taken:
+                n += 1
+                name = f"{base}-{n}"
+            last[base] = n
+            taken.add(name)
+            ids.append(name)
+        yield b[["k"]].assign(id=ids)
+
+
 def distinct_ids(slices: DataFrame, base: str = "base", order: str = "ord") -> DataFrame:
-    """Adds ``id``: the base, and from its second slice on a number. Bases that end in such a number could clash with it; those
-    few are moved on by a second window. Slices of one base are ordered by ``order``; a skewed base only costs its own sort."""
-    nth = F.row_number().over(Window.partitionBy(base).orderBy(order))
-    first = slices.withColumn("id", F.when(nth == 1, F.col(base)).otherwise(F.concat(F.col(base), F.lit("-"), nth)))
-    again = F.row_number().over(Window.partitionBy("id").orderBy(order))
-    return first.withColumn("id", F.when(again == 1, F.col("id")).otherwise(F.concat(F.col("id"), F.lit("-"), again + 1)))
+    """Adds ``id``: the first of base, base-2, base-3 … that no earlier slice has. ``order`` tells all slices apart. Bases can only clash
+    with those that are equal but for such numbers at the end: their family. Families of one base, nearly all, are numbered by a
+    window; in the others the ids are given one after another, streamed in order by family."""
+    slim = slices.select(F.col(order).alias("k"), F.col(base).alias("base"), F.regexp_replace(base, r"(?:-[0-9]+)+\z", "").alias("family"))
+    mixed = slim.groupBy("family").agg(F.min("base").alias("low"), F.max("base").alias("high")).where("low <> high").select("family")
+    nth = F.row_number().over(Window.partitionBy("base").orderBy("k"))
+    plain = slim.join(mixed, "family", "left_anti").select("k", F.when(nth == 1, F.col("base")).otherwise(F.concat("base", F.lit("-"), nth)).alias("id"))
+    few = slim.join(mixed, "family", "left_semi").repartition("family").sortWithinPartitions("family", "k")
+    kind = slim.schema["k"].dataType
+    odd = few.mapInPandas(_clashing, T.StructType([T.StructField("k", kind), T.StructField("id", T.StringType())]))
+    return slices.join(plain.unionByName(odd).withColumnRenamed("k", order), order)
 
 
 def vocabulary_tags(slices: DataFrame, vocabulary: DataFrame, key: str, title: str, text: str, limit: int = 5) -> DataFrame:
@@ -107,16 +135,62 @@ def vocabulary_tags(slices: DataFrame, vocabulary: DataFrame, key: str, title: s
     return slices.select(key, best(F.coalesce(F.col(title), F.lit("")), hay).alias("tags"))
 
 
-def term_tags(slices: DataFrame, key: str, text: str, limit: int = 2) -> DataFrame:
-    """(key, terms): languages of fences, then terms in back quotes by frequency, first seen first among equals."""
+def _first_spellings(tags: Column) -> Column:
+    """Of tags that differ in case alone the first."""
+    return F.filter(tags, lambda t, i: (i == 0) | ~F.exists(F.slice(tags, F.lit(1), i), lambda x: F.lower(x) == F.lower(t)))
+
+
+def term_tags(slices: DataFrame, key: str, text: str, limit: int = 2, known: Column | None = None) -> DataFrame:
+    """(key, terms): languages of fences, then terms in back quotes by frequency, first seen first among equals; none of ``known``."""
     langs = F.regexp_extract_all(F.col(text), F.lit(r"(?m)^[\s\x1c-\x1f]*(?:```|~~~)[\s\x1c-\x1f]*([A-Za-z0-9+#\-]+)"), F.lit(1))
     ticks = F.filter(F.transform(F.regexp_extract_all(F.col(text), F.lit(r"`([^`\n]{2,20})`"), F.lit(1)), strip), lambda t: F.length(t).between(2, 16) & t.rlike(r"\A[A-Za-z0-9一-\u9fff][A-Za-z0-9一-\u9fff+#._\- ]{1,15}\z"))
     seen = F.array_distinct("ticks")
     counted = F.transform(seen, lambda t, i: F.struct((-F.size(F.filter("ticks", lambda x: x == t))).alias("n"), i.alias("i"), t.alias("t")))
     terms = F.transform(F.slice(F.array_sort(counted), 1, 10), lambda r: r["t"])
-    both = slices.select(key, langs.alias("langs"), ticks.alias("ticks")).select(key, F.concat("langs", terms).alias("all"))
-    first = F.filter("all", lambda t, i: (i == 0) | ~F.exists(F.slice("all", F.lit(1), i), lambda x: F.lower(x) == F.lower(t)))
-    return both.select(key, F.slice(first, 1, limit).alias("terms"))
+    given = F.transform(known if known is not None else F.array().cast("array<string>"), F.lower)
+    both = slices.select(key, langs.alias("langs"), ticks.alias("ticks"), given.alias("known")).select(key, "known", F.concat("langs", terms).alias("all"))
+    free = both.select(key, F.filter("all", lambda t: ~F.array_contains("known", F.lower(t))).alias("all"))
+    return free.select(key, F.slice(_first_spellings(F.col("all")), 1, limit).alias("terms"))
+
+
+def inferred_tags(slices: DataFrame, key: str, scalars: str, lists: str, rel: str, title: str, text: str, limit: int = 5) -> DataFrame:
+    """(key, tags) where there is no vocabulary: those of the front matter; if it has none, the file's name, the title and terms of the
+    text. Whitespace is made single, and of tags that differ in case alone the first stays."""
+    empty = F.array().cast("array<string>")
+    given = []
+    for name in ("tags", "tag", "标签"):
+        given.append(F.coalesce(F.transform(F.try_element_at(lists, F.lit(name)), strip), empty))
+        given.append(F.coalesce(F.transform(F.split(F.try_element_at(scalars, F.lit(name)), "[,，、]"), strip), empty))
+    stem, bare = strip_numbering(stem_of(F.col(rel))), clean_title(strip_numbering(F.col(title)))
+    own = F.filter(F.array(stem, F.when(F.lower(bare) != F.lower(stem), bare)), lambda t: t.isNotNull() & (t != ""))
+    s = slices.select(key, F.col(text).alias("_text"), F.filter(F.concat(*given), lambda t: t != "").alias("given"), own.alias("own"))
+    s = s.join(term_tags(s, key, "_text", known=F.col("own")), key)
+    tags = F.when(F.size("given") > 0, F.col("given")).otherwise(F.concat("own", F.coalesce("terms", empty)))
+    s = s.select(key, F.filter(F.transform(tags, lambda t: strip(F.regexp_replace(t, SPACE + "+", " "))), lambda t: t != "").alias("all"))
+    return s.select(key, F.slice(_first_spellings(F.col("all")), 1, limit).alias("tags"))
+
+
+def sourced(rel: Column, crumbs: Column, text: Column) -> Column:
+    """A slice's text below the line that names its file and section; quotes of either are grounded by it."""
+    return F.concat(F.lit("[来源] "), rel, F.lit(" | "), crumbs, F.lit("\n\n"), text)
+
+
+def plan(files: DataFrame, vocabulary: DataFrame | None = None, options: Options = Options()) -> tuple[DataFrame, DataFrame]:
+    """(slices, skipped) of files (rel, raw): the slices with ids, category, tags and sourced text, in order of path, section and part
+    (``at``); what was left out with its reason, the folded blocks of each file counted in a row of their own. Paths are unique."""
+    matter = structure.with_front_matter(files, "rel", "raw")
+    assessed = assess(structure.with_chunks(files, "rel", "raw", options), options).join(matter, "rel").withColumn("at", F.struct(F.split("rel", "/").alias("path"), "section_no", "part"))
+    folded = matter.where("folded > 0").select("rel", F.lit("(全文)").alias("section"), F.lit("folded").alias("reason"), F.col("folded").alias("n"), F.lit(None).cast("int").alias("need"))
+    left = skipped(assessed).select("rel", F.col("crumbs").alias("section"), "reason", F.col("char_count").alias("n"), "need").unionByName(folded)
+    k = kept(assessed).withColumn("base", base_id(F.col("rel"), F.col("title"), F.col("part"), F.col("parts")))
+    k = distinct_ids(k, "base", "at")
+    named = vocabulary_tags(k, vocabulary, "id", "title", "text") if vocabulary is not None else inferred_tags(k, "id", "scalars", "lists", "rel", "title", "text")
+    k = k.join(named, "id")
+    shown = [
+        "at", "id", "rel", F.col("crumbs").alias("section"), strip_numbering(F.col("title")).alias("title"), "h1", category(F.col("scalars"), F.col("rel"), F.col("h1"), options.category).alias("category"), "tags", "mode", "part", "parts",
+        "char_count", "has_code", "has_table", F.lit(options.max_per_section).alias("max_per_section"), sourced(F.col("rel"), F.col("crumbs"), F.col("text")).alias("text"),
+    ]
+    return k.select(*shown, *([images(F.col("text")).alias("images")] if options.with_images else [])), left
 
 
 def increment(new: DataFrame, old: DataFrame, key: str = "id") -> DataFrame:

@@ -121,8 +121,10 @@ sec AS (SELECT doc_id, s, coalesce(max(CASE WHEN level BETWEEN 1 AND 2 THEN titl
 SELECT sec.doc_id, row_number() OVER (PARTITION BY sec.doc_id ORDER BY sec.s) - 1 AS section_no, title, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_paragraphs, 0)::BIGINT AS n_paragraphs
 FROM sec LEFT JOIN paras ON sec.doc_id = paras.doc_id AND sec.s = paras.s""",
     "categories": rf"""
-WITH f AS (SELECT doc_id, rel, regexp_extract(coalesce(text, ''), '{FRONT}', 1) AS m FROM documents)
-SELECT doc_id, coalesce(nullif(regexp_extract(m, '(?m)^category: *([^\r\n]*?) *\r?$', 1), ''), CASE WHEN contains(rel, '/') THEN nullif({clean_title(strip_numbering("string_split(rel, '/')[1]"))}, '') END, '未分类') AS category FROM f""",
+WITH {LINES},
+h AS (SELECT doc_id, arg_min(title, b) AS h1 FROM kept WHERE level = 1 GROUP BY doc_id),
+f AS (SELECT d.doc_id, rel, regexp_extract(coalesce(text, ''), '{FRONT}', 1) AS m, coalesce(h1, '') AS h1 FROM documents d LEFT JOIN h ON d.doc_id = h.doc_id)
+SELECT doc_id, coalesce(nullif(regexp_extract(m, '(?m)^category: *([^\r\n]*?) *\r?$', 1), ''), CASE WHEN contains(rel, '/') THEN nullif({clean_title(strip_numbering("string_split(rel, '/')[1]"))}, '') END, nullif({clean_title(strip_numbering('h1'))}, ''), '未分类') AS category FROM f""",
     "vocabulary_tags": rf"""
 WITH t AS (SELECT ord, coalesce(title, '') AS title, {strip_html('text')} || chr(10) || coalesce(title, '') AS hay FROM tasks),
 s AS (SELECT t.ord, v.tag, v.ord AS i, ((length(hay) - length(replace(hay, v.tag, ''))) / length(v.tag))::INT + CASE WHEN contains(title, v.tag) THEN 50 ELSE 0 END AS score FROM t JOIN tag_vocab v ON contains(hay, v.tag)),
@@ -252,3 +254,10 @@ f AS (
 ),
 m AS (SELECT q.ord, f.t, list_transform(list_filter(q.options, lambda o: o.label <> q.answer[1]), lambda o: o.content) AS rest, list_filter(q.options, lambda o: o.label = q.answer[1])[1].content AS hit FROM q JOIN f ON q.ord = f.ord)
 SELECT ord, array_to_string(flatten([rest[1:t - 1], [hit], rest[t:]]), '|') AS options, substring('ABCDEF', t, 1) AS answer FROM m"""
+
+SQL["balanced_choices"] = f"SELECT answer AS label, count(*) AS n FROM ({SQL['balance_single']}) GROUP BY answer"
+SQL["slice_facets"] = "SELECT facet, value, count(*) AS n FROM (SELECT 'category' AS facet, coalesce(category, '') AS value FROM tasks UNION ALL SELECT 'mode', coalesce(mode, '') FROM tasks) GROUP BY facet, value"
+SQL["slice_totals"] = "SELECT count(*) AS slices, count(DISTINCT rel) AS files, coalesce(sum(char_count), 0)::BIGINT AS chars, coalesce(sum(len(images)), 0)::BIGINT AS pictures FROM tasks"
+SQL["added_slices"] = "SELECT id, char_count, mode FROM tasks WHERE id IN (SELECT task_id FROM task_increment WHERE status = 'added')"
+SQL["uncovered_places"] = "SELECT id, rel, section FROM tasks WHERE id IS NULL OR id NOT IN (SELECT _task_id FROM bank WHERE _task_id IS NOT NULL)"
+SQL["sourced_slices"] = "SELECT ord, sha1('[来源] ' || coalesce(rel, '') || ' | ' || coalesce(section, '') || chr(10) || chr(10) || coalesce(text, '')) AS digest FROM tasks"

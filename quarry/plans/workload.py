@@ -140,8 +140,9 @@ def slice_flags(spark, d):
 @query
 def categories(spark, d):
     f = structure.with_front_matter(load(spark, d, "documents"), "doc_id", "text")
-    docs = load(spark, d, "documents").select("doc_id", "rel")
-    return docs.join(f, "doc_id").select("doc_id", slices.category(F.col("scalars"), F.col("rel"), F.lit("")).alias("category"))
+    docs = load(spark, d, "documents").select("doc_id", "rel", "text")
+    h1 = structure.with_blocks(docs, "doc_id", "text").where("level = 1").groupBy("doc_id").agg(F.min_by("title", "block_no").alias("h1"))
+    return docs.drop("text").join(f, "doc_id").join(h1, "doc_id", "left").select("doc_id", slices.category(F.col("scalars"), F.col("rel"), F.coalesce("h1", F.lit(""))).alias("category"))
 
 
 @query
@@ -223,9 +224,9 @@ def near_duplicates(spark, d):
 
 @query
 def near_duplicate_report(spark, d):
-    """The fifty most alike, a top-k report."""
+    """The fifty most alike, a top-k report. Ratios are ordered by three places, half to even."""
     n = similarity.near_duplicates(load(spark, d, "clean"))
-    return n.withColumn("ratio", F.round("ratio", 3)).orderBy(F.desc("ratio"), "ord_a", "ord_b").limit(50)
+    return n.withColumn("ratio", F.bround("ratio", 3)).orderBy(F.desc("ratio"), "ord_a", "ord_b").limit(50)
 
 
 @query
@@ -257,6 +258,13 @@ def prune(spark, d):
     return merge.leftovers(bank, merge.by_fingerprint(clean, bank), docs, tasks)
 
 
+@query
+def prune_merged(spark, d):
+    """What is left over after the whole merge, like matches included."""
+    clean, bank, tasks, docs = load(spark, d, "clean", "bank", "tasks", "documents")
+    return merge.leftovers(bank, merge.actions(clean, bank), docs, tasks)
+
+
 @query
 def merged_bank(spark, d):
     clean, bank = load(spark, d, "clean", "bank")
@@ -352,3 +360,61 @@ def preview_rows(spark, d):
 @query
 def preview_facets(spark, d):
     return reports.facets(load(spark, d, "bank"))
+
+
+@query
+def slice_facets(spark, d):
+    return reports.slice_facets(load(spark, d, "tasks"))
+
+
+@query
+def slice_totals(spark, d):
+    return reports.slice_totals(load(spark, d, "tasks"))
+
+
+@query
+def added_slices(spark, d):
+    return reports.added_slices(*load(spark, d, "task_increment", "tasks"))
+
+
+@query
+def uncovered_places(spark, d):
+    return reports.uncovered_places(*load(spark, d, "tasks", "bank"))
+
+
+@query
+def sourced_slices(spark, d):
+    t = load(spark, d, "tasks")
+    return t.select("ord", F.sha1(slices.sourced(F.coalesce("rel", F.lit("")), F.coalesce("section", F.lit("")), F.coalesce("text", F.lit("")))).alias("digest"))
+
+
+@query
+def inferred_tags(spark, d):
+    f = structure.with_front_matter(load(spark, d, "documents"), "doc_id", "text")
+    docs = load(spark, d, "documents").select("doc_id", "rel", F.lit("").alias("title"), F.coalesce("text", F.lit("")).alias("text"))
+    return slices.inferred_tags(docs.join(f, "doc_id"), "doc_id", "scalars", "lists", "rel", "title", "text").select("doc_id", joined("tags"))
+
+
+def _planned(spark, d):
+    """The files of the corpus, of equal paths the first, sliced."""
+    docs = load(spark, d, "documents").where("rel IS NOT NULL")
+    first = docs.groupBy("rel").agg(F.min("doc_id").alias("doc_id"))
+    files = docs.join(first, ["rel", "doc_id"], "left_semi").select("rel", F.coalesce("text", F.lit("")).alias("raw"))
+    return slices.plan(files, load(spark, d, "tag_vocab"))
+
+
+@query
+def planned_slices(spark, d):
+    k, _ = _planned(spark, d)
+    return k.select("id", "rel", "section", "title", "h1", "category", joined("tags"), "mode", "part", "parts", "char_count", F.sha1("text").alias("digest"))
+
+
+@query
+def planned_skips(spark, d):
+    return _planned(spark, d)[1]
+
+
+@query
+def balanced_choices(spark, d):
+    """Answers of SINGLE questions by position after balancing."""
+    return folds.balance_single(load(spark, d, "clean")).groupBy(F.array_join("answer", "").alias("label")).agg(F.count("*").alias("n"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.contract import SKIPPED_DIRS, SKIPPED_FILES
 from quarry.functions.text import strip
+from quarry.operators.lineage import numbered
 
 
 def scan(spark: SparkSession, root: str) -> DataFrame:
@@ -14,6 +15,7 @@ def scan(spark: SparkSession, root: str) -> DataFrame:
     left out by their path below the root, before anything is read. A folder without any raises."""
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").format("binaryFile").load(root)
     base = root.rstrip("/")
+    base = base if not base.endswith(".md") else base.rpartition("/")[0]  # a single file lies in its folder
     rel = F.expr(f"substring(path, locate('{base}/', path) + {len(base) + 1})")
     f = files.select(F.url_decode(F.replace(rel, F.lit("+"), F.lit("%2B"))).alias("rel"), F.decode("content", "UTF-8").alias("raw"))
     parts, name = F.split("rel", "/"), F.element_at(F.split("rel", "/"), -1)
@@ -25,7 +27,18 @@ def scan(spark: SparkSession, root: str) -> DataFrame:
 
 def ordered(files: DataFrame) -> DataFrame:
     """Adds ``file_ord``: files by the parts of their paths."""
-    return files.withColumn("file_ord", F.row_number().over(Window.orderBy(F.split("rel", "/"))))
+    return numbered(files.withColumn("_path", F.split("rel", "/")), "file_ord", "_path").drop("_path")
+
+
+def chosen_vocabulary(files: DataFrame, lists: DataFrame, levels: int = 4) -> DataFrame:
+    """The one row of ``lists`` (rel, text), files named tags.md, that holds for a run: each file has the nearest one in its own folder or
+    up to ``levels`` - 1 above it; the first file in order of paths that has one decides for all. No row if none has."""
+    parts = F.split("rel", "/")
+    above = F.transform(F.sequence(F.lit(1), F.least(F.size(parts), F.lit(levels))), lambda i: F.struct(i.alias("up"), F.array_join(F.slice(parts, F.lit(1), F.size(parts) - i), "/").alias("folder")))
+    near = files.select(parts.alias("path"), F.explode(above).alias("a")).select("path", "a.up", "a.folder")
+    have = lists.select(F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/").alias("folder"), "rel", "text")
+    first = near.join(have.select("folder"), "folder").agg(F.min(F.struct("path", "up", "folder")).alias("m")).where("m IS NOT NULL").select("m.folder")
+    return have.join(first, "folder").select("rel", "text")
 
 
 def vocabulary(lines: DataFrame, text: str = "text") -> DataFrame:

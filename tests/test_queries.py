@@ -16,7 +16,8 @@ def test_query_against_sql(spark, name):
     got = [tuple(r) for r in df.select(sorted(df.columns)).collect()]
     sql = entry.oracle_sql().get(name)
     if sql is None:
-        return
+        assert len(set(df.columns)) == len(df.columns)
+        pytest.skip("no SQL: runs, and is held against brute force elsewhere")
     con = duckdb.connect()
     for t in TABLES:
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
