@@ -4,13 +4,16 @@ Each task gathers its documents into shards of SHARD characters and builds an FM
 DEPTH characters, the Burrows-Wheeler transform of that order as a wavelet matrix (a balanced wavelet tree by levels), and the
 suffixes' positions. The items' phrases, of DEPTH characters each, are searched backwards, all at once: every step is two ranks in
 the matrix. As no phrase is longer than the order is deep, the ranges are those of a full index. What occurs is located by the
-positions (one kept per SAMPLE rows; the index lives for one shard only, so every one is), hits on about one diagonal form a
-passage, and each is checked by alignment. Spans that overlap are merged.
+positions, kept for every row: stepping back to sampled ones needs the order to the end of the text, which takes some four times the
+sorting, and an index lives for one shard only. Hits on about one diagonal form a passage, and each is checked by alignment. Spans
+that overlap are merged.
 
-One pass over the corpus without a shuffle; what is sent along are the items, in blocks of at most ITEMS, whatever their number.
+One pass over the corpus without a shuffle for up to SENT items, which go along with the function; more take a pass for each SENT. A
+shard's index is built once and searched by blocks of ITEMS.
 
 Text is compared without regard to how it is set or written: compatibility forms, case, look-alike letters, markup, links and all
-that is not a letter or digit are evened out. Phrases that several items share are wording, and are not searched.
+that is not a letter or digit are evened out. A phrase that more than OWNERS items share is wording, and is not searched; one that
+fewer share, as where an item is an extended version of another, is searched for each of them.
 
 Defined cases: null, empty and very short documents and items give no row; an item without a phrase of its own is searched whole
 if it has DEPTH characters; copies of a document are each reported. Documents longer than a shard are cut with an overlap.
@@ -35,16 +38,18 @@ SHARD = 1_500_000
 DEPTH = 12
 #: Distance of the phrases of an item; a run of DEPTH + STRIDE - 1 equal characters is certain to hold one.
 STRIDE = 3
-SAMPLE = 1
-ITEMS = 5_000
+#: Items searched at a time, and items that go along with one pass.
+ITEMS, SENT = 5_000, 50_000
+#: Items that may share a phrase.
+OWNERS = 3
 #: A passage holds this part of an item, and in it at least this part of the characters is the same.
 PART, SAME = 0.5, 0.75
-#: Equal runs below this length are chance. Of an item's phrases this share must lie on about one diagonal, or it is wording in common.
-RUN, HITS = 5, 0.25
+#: Equal runs below this length are chance. Of an item's phrases this share must lie on about one diagonal for an alignment to be tried.
+RUN, HITS = 5, 0.1
 #: Characters by which edits may shift a passage.
 SHIFT = 40
 
-MARKUP = re.compile(r"\]\([^()\s]*\)|</?[A-Za-z][^<>]{0,200}>|&#?\w{1,8};")
+MARKUP = re.compile(r"\]\([^()\s]*\)|</?[A-Za-z][^<>]*>|&#?\w+;")
 NOISE = re.compile(r"[\W_]+")
 
 
@@ -120,7 +125,7 @@ class FMIndex:
             rank = np.empty(n, np.int64)
             rank[order] = fresh
             known += step
-        self.places = order[::SAMPLE]
+        self.places = order
         symbols = codes[order - 1]
         self.first = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(self.alphabet)))])
         self.levels: list[tuple[int, Bits]] = []
@@ -170,15 +175,16 @@ class FMIndex:
 
 
 def phrases_of(items: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(phrases, item, offset): the phrases that belong to one item alone, as symbols."""
-    owner: dict[str, int] = {}
+    """(phrases, item, offset): the phrases that few items have, as symbols, some for every STRIDE characters of an item."""
+    owners: dict[str, set[int]] = {}
     for i, t in enumerate(items):
         for k in range(len(t) - DEPTH + 1):
-            g = t[k : k + DEPTH]
-            owner[g] = i if owner.get(g, i) == i else -1
+            have = owners.setdefault(t[k : k + DEPTH], set())
+            if len(have) <= OWNERS:
+                have.add(i)
     got, item, offset = [], [], []
     for i, t in enumerate(items):
-        own = [k for k in range(len(t) - DEPTH + 1) if owner[t[k : k + DEPTH]] == i]
+        own = [k for k in range(len(t) - DEPTH + 1) if len(owners[t[k : k + DEPTH]]) <= OWNERS]
         last = -STRIDE
         for k in own or range(0, max(0, len(t) - DEPTH + 1), STRIDE):
             if k - last >= STRIDE:
@@ -227,12 +233,14 @@ def _shards(texts: list[str], overlap: int) -> Iterator[list[tuple[int, int, str
         yield run
 
 
-def _search(run: list[tuple[int, int, str]], items: list[str], phrases: tuple[np.ndarray, ...]) -> Iterator[tuple[int, int, int, int]]:
+def _indexed(run: list[tuple[int, int, str]]) -> FMIndex:
+    return FMIndex(np.frombuffer(("\0".join(p for _, _, p in run) + "\0").encode("utf-32-le", "surrogatepass"), np.uint32))
+
+
+def _search(index: FMIndex, run: list[tuple[int, int, str]], items: list[str], phrases: tuple[np.ndarray, ...]) -> Iterator[tuple[int, int, int, int]]:
     """(document, item, start, end) of the passages in a shard, in places of the evened documents."""
     symbols, item, offset = phrases
-    text = np.frombuffer(("\0".join(p for _, _, p in run) + "\0").encode("utf-32-le", "surrogatepass"), np.uint32)
     begins = np.cumsum([0, *(len(p) + 1 for _, _, p in run)])
-    index = FMIndex(text)
     phrase, place = index.locate(*index.ranges(symbols))
     part = np.searchsorted(begins, place, "right") - 1
     shift = place - begins[part] - offset[phrase]
@@ -256,13 +264,13 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     """(key, item_key, start, end): passages in the documents, in code points of the text, merged where they overlap."""
     even = Evener(prototypes(docs.sparkSession))
     listed = sorted(((r[0], even(r[1])) for r in items.select(item_key, item_text).where(F.col(item_text).isNotNull()).toLocalIterator()), key=lambda r: r[0])
-    blocks = [listed[i : i + ITEMS] for i in range(0, len(listed), ITEMS)] or [[]]
+    passes = [listed[i : i + SENT] for i in range(0, len(listed), SENT)] or [[]]
     slim = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
     schema = T.StructType([T.StructField("k", slim.schema["k"].dataType), T.StructField("item", items.schema[item_key].dataType), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
 
-    def one(block: list) -> DataFrame:
-        names, wanted = [n for n, _ in block], [t for _, t in block]
-        phrases = phrases_of(wanted)
+    def one(sent: list) -> DataFrame:
+        names, wanted = [n for n, _ in sent], [t for _, t in sent]
+        blocks = [(low, wanted[low : low + ITEMS], phrases_of(wanted[low : low + ITEMS])) for low in range(0, len(wanted), ITEMS)]
         overlap = 4 * max(map(len, wanted), default=0)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,8 +281,10 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
             def flush() -> pa.RecordBatch:
                 found: dict[tuple[int, int], list[tuple[int, int]]] = {}
                 for shard in _shards([even(t) for t in texts], overlap):
-                    for d, i, s, e in _search(shard, wanted, phrases):
-                        found.setdefault((d, i), []).append((s, e))
+                    index = _indexed(shard)
+                    for low, some, phrases in blocks:
+                        for d, i, s, e in _search(index, shard, some, phrases):
+                            found.setdefault((d, low + i), []).append((s, e))
                 rows: tuple[list, ...] = ([], [], [], [])
                 places: dict[int, np.ndarray] = {}
                 for (d, i), spans in sorted(found.items()):
@@ -303,9 +313,9 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
         return slim.mapInArrow(run, schema)
 
     item_type = pa.int64() if items.schema[item_key].dataType == T.LongType() else pa.int32() if items.schema[item_key].dataType == T.IntegerType() else pa.string()
-    out = one(blocks[0])
-    for block in blocks[1:]:
-        out = out.unionByName(one(block))
+    out = one(passes[0])
+    for sent in passes[1:]:
+        out = out.unionByName(one(sent))
     return out.withColumnsRenamed({"k": key, "item": item_key})
 
 

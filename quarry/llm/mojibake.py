@@ -34,7 +34,7 @@ SINGLE = ("cp1252", "cp1251", "mac_roman", "cp437", "cp850", "cp1250", "koi8_r")
 DOUBLE = ("gbk", "cp950", "cp932")
 #: A character counts as clean if at least so many documents, and this share of them, have it.
 CLEAN_DOCS, CLEAN_SHARE = 3, 0.0005
-#: Characters of this share of the documents are too common to be garbled.
+#: Characters of this share of the documents are too common to be garbled, unless they are part of a form under Windows-1252.
 COMMON_SHARE = 0.05
 #: Marks that stand alone between ASCII letters.
 MARKS = "‘’“”–—…•"
@@ -75,7 +75,7 @@ class Table:
     def __init__(self, docs: dict[str, int], n: int):
         least = max(CLEAN_DOCS, CLEAN_SHARE * n)
         self.docs = docs
-        self.common = {c for c, k in docs.items() if k >= max(CLEAN_DOCS, COMMON_SHARE * n)}
+        common = {c for c, k in docs.items() if k >= max(CLEAN_DOCS, COMMON_SHARE * n)}
         clean = {c for c, k in docs.items() if k >= least and c != LOST}
         self.forms: dict[str, dict[str, str]] = {codec: {} for codec in SINGLE}
         self.tokens: dict[str, re.Pattern] = {}
@@ -91,6 +91,8 @@ class Table:
             for c in clean:
                 for form in self._written(c.encode(), back):
                     self.forms[codec][form] = c
+        # what a wrong decoder makes is never common, be a large source decoded wrongly as a whole
+        self.common = common - {LOST} - set("".join(self.forms[SINGLE[0]])) - set("锟斤拷")
         # a form that is itself clean text says nothing
         west = {c for c in clean if c.isalpha() and c < "\u0250"}
         for codec in SINGLE:
