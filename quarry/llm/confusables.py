@@ -103,6 +103,18 @@ def consistent(text: str, table: dict[int, str]) -> str:
     return text
 
 
+def _looks(text: str, table: dict[int, str]) -> str:
+    """What a text looks like: the skeleton of its visible signs, compatibility forms unified, letters of like stems folded."""
+    plain = unicodedata.normalize("NFKC", SPACES.sub(" ", INVISIBLE.sub("", text)))
+    return skeleton(plain, table).casefold().replace("i", "l").replace("1", "l").replace("|", "l")
+
+
+def accepted(text: str, table: dict[int, str]) -> str:
+    """The consistent form, if its skeleton is that of the text; else the text."""
+    new = consistent(text, table)
+    return new if new == text or _looks(new, table) == _looks(text, table) else text
+
+
 def _script(c: str) -> str:
     return unicodedata.name(c, "").partition(" ")[0]
 
@@ -150,7 +162,7 @@ def clean(df: DataFrame, keys: list[str], text: str, only_changed: bool = False)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             old = b.column(at).to_pylist()
-            new = [t if not t or t.isascii() else consistent(t, table) for t in old]
+            new = [t if not t or t.isascii() else accepted(t, table) for t in old]
             changed = pa.array([x != y for x, y in zip(old, new)], pa.bool_())
             out = pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(new, pa.string()), changed], names=[*b.schema.names, "changed"])
             yield out.filter(changed) if only_changed else out

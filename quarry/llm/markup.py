@@ -1,16 +1,17 @@
 """Problem 2: markup residue of four formats, told from signs used literally, and turned into clean text.
 
 A tolerant reader finds every stretch that could be markup, of HTML, Markdown, wiki or LaTeX, and hangs them into a tree by
-containment. Gradient-boosted trees give each node the odds that it is markup, from features of the node: kind, depth, siblings
-and those of its kind, density of the subtree, tag and attribute tokens, what stands at its edges and inside. The labels of all
-nodes are decoded together, down the tree, for the most probable choice without contradictions: nothing inside code is markup,
-and nothing inside a formula but LaTeX is.
+containment; a pair of tags makes an element, which is the parent of its tags and of all between them. Gradient-boosted trees give
+each node the odds that it is markup, from features of the node: kind, depth, siblings and those of its kind, density of the subtree,
+tag and attribute tokens, what stands at its edges and inside. The labels of all nodes are decoded together for the most probable
+choice without contradictions: an element and its tags are markup all three or none, by the sum of their odds; nothing inside code is
+markup, and nothing inside a formula but LaTeX is. Code and formulas bind tighter than what is inside, which can't outvote them.
 
 The classifier is fitted on the driver on SAMPLE generated texts whose labels are known by the way they are made (``teach``); it
 has some hundred leaves and goes along with the function. It never sees the data. Rows are independent: one pass without a shuffle.
 
 Defined cases: null and empty texts have no nodes and stay as they are; a stretch that two readings cross belongs to the one
-that begins first; copies get equal results.
+that begins first, unless that one turns out to be no markup: then the text is read again without it; copies get equal results.
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ KINDS: dict[str, tuple[str, str]] = {
     "fence": ("markdown", r"^[ ]{0,3}(?P<f>`{3,}|~{3,})[^\n`]*\n(?P<in>(?:.*\n)*?)[ ]{0,3}(?P=f)[ ]*$"),
     "code": ("markdown", r"(?<![`\\])(?P<c>`{1,2})(?!`)(?P<in>[^`\n]+)(?P=c)(?!`)"),
     "comment": ("html", r"<!--(?P<in>[\s\S]*?)-->"),
-    "tag": ("html", r"</?(?P<in>[A-Za-z][A-Za-z0-9]*)(?P<attr>[^<>]{0,300})>"),
+    "tag": ("html", r"</?(?P<in>[A-Za-z][A-Za-z0-9]*)(?P<attr>[^<>]*)>"),
+    "element": ("html", ""),  # an opening tag, its closing one and what is between
     "entity": ("html", r"&(?P<in>#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"),
     "display": ("latex", r"\$\$(?P<in>[^$]+)\$\$"),
     "bracket": ("latex", r"\\\[(?P<in>[\s\S]+?)\\\]"),
@@ -73,7 +75,9 @@ KINDS: dict[str, tuple[str, str]] = {
     "strike": ("markdown", r"~~(?P<in>[^~\n]+?)~~"),
 }
 ORDER = list(KINDS)
-PATTERNS = {k: re.compile(p, re.M) for k, (_, p) in KINDS.items()}
+PATTERNS = {k: re.compile(p, re.M) for k, (_, p) in KINDS.items() if p}
+#: Readings of a text, each without what the one before showed to be no markup and to stand in the way of something.
+READINGS = 4
 #: A text without this sign has no node of the kind.
 NEEDS = {"fence": "", "code": "`", "comment": "<!--", "tag": "<", "entity": "&", "display": "$$", "bracket": "\\[", "paren": "\\(", "environment": "\\begin", "dollar": "$", "command": "\\", "bare": "\\", "wikitable": "{|", "template": "{{", "wikilink": "[[", "quotes": "''", "equals": "==", "extlink": "://", "heading": "#", "row": "|", "image": "![", "link": "](", "note": "[^", "stars": "*", "bars": "_", "strike": "~~", "quote": ">"}
 #: Kinds inside which nothing else is markup, and those inside which LaTeX alone is.
@@ -84,7 +88,7 @@ ATTRIBUTE = re.compile(r"^(?:\s+[A-Za-z-:]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\
 VALUE = re.compile(r"=\s*[\"']")
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
     kind: str
     start: int
@@ -99,10 +103,16 @@ class Node:
     odds: float = 0.0
     markup: bool = False
     raw: bool = False
+    yes: float = 0.0
+    no: float = 0.0
 
+    @property
+    def place(self) -> tuple[str, int, int]:
+        return self.kind, self.start, self.end
 
-def read(text: str) -> list[Node]:
-    """The roots of the tree of what could be markup."""
+
+def read(text: str, without: set[tuple[str, int, int]] = frozenset()) -> tuple[list[Node], list[Node]]:
+    """The roots of the tree of what could be markup, and the nodes that something else crossed, which is left out."""
     found: list[Node] = []
     for kind, pattern in PATTERNS.items():
         need = NEEDS.get(kind)
@@ -117,25 +127,28 @@ def read(text: str) -> list[Node]:
             if opened.get(name):
                 o = opened[name].pop()
                 o.of_kind = n.of_kind = 1
+                found.append(Node("element", o.start, n.end, o.end, n.start, o.match))
                 if name in RAW:  # its content is code: a node of its own
                     found.append(Node("code", o.end, n.start, o.end, n.start, o.match, raw=True))
         else:
             opened.setdefault(name, []).append(n)
-    found = [n for n in found if n.end > n.start]
+    found = [n for n in found if n.end > n.start and n.place not in without]
     found.sort(key=lambda n: (n.start, -n.end, ORDER.index(n.kind)))
     roots: list[Node] = []
     stack: list[Node] = []
+    crossed: list[Node] = []
     for n in found:
         while stack and stack[-1].end <= n.start:
             stack.pop()
         if stack and n.end > stack[-1].end:
-            continue  # crosses what began before
+            crossed.append(stack[-1])
+            continue
         if stack and (n.start, n.end) == (stack[-1].start, stack[-1].end) and n.kind != "row":
             continue  # the same stretch, read before
         n.depth = len(stack)
         (stack[-1].children if stack else roots).append(n)
         stack.append(n)
-    return roots
+    return roots, crossed
 
 
 def walk(nodes: list[Node]) -> Iterator[Node]:
@@ -161,7 +174,7 @@ def features(text: str, roots: list[Node]) -> tuple[list[Node], np.ndarray]:
             covered = sum(c.end - c.start for c in n.children)
             m = n.match
             groups = m.groupdict()
-            name = m["in"].lower() if n.kind == "tag" else groups.get("n") or ""
+            name = m["in"].lower() if n.kind in ("tag", "element") else groups.get("n") or ""
             attr = groups.get("attr") or ""
             row = [float(n.kind == k) for k in ORDER]
             row += [n.depth, len(siblings), count[n.kind], len(inner), covered / size, float("\n" in inner)]
@@ -179,16 +192,18 @@ def features(text: str, roots: list[Node]) -> tuple[list[Node], np.ndarray]:
     return nodes, np.array(rows) if rows else np.empty((0, 0))
 
 
-def decode(roots: list[Node]) -> None:
-    """Labels of the most probable choice: what a node allows its descendants decides together with its own odds."""
+def _own(n: Node) -> list[Node]:
+    """The tags of an element."""
+    return [c for c in n.children if c.kind == "tag" and (c.start == n.start or c.end == n.end)] if n.kind == "element" else []
 
-    def free(n: Node) -> float:
-        return max(choices(n))
 
-    def choices(n: Node) -> tuple[float, float]:
-        """Gain of n's subtree with n as markup and as literal text."""
-        inside = sum(free(c) for c in n.children)  # code and formulas bind tighter than what is inside, which can't outvote them
-        return n.odds + inside, inside
+def decode(roots: list[Node]) -> None:
+    """Labels of the most probable choice. Upwards, what each subtree gains with its root as markup and without; then downwards, the
+    better of both, as far as what is above allows it."""
+    for n in reversed(list(walk(roots))):  # children before parents
+        tags = _own(n)
+        inside = sum(max(c.yes, c.no) for c in n.children if c not in tags)
+        n.yes, n.no = n.odds + sum(t.odds for t in tags) + inside, inside
 
     def put(n: Node, latex_only: bool, none: bool) -> None:
         if none:
@@ -196,11 +211,13 @@ def decode(roots: list[Node]) -> None:
         elif latex_only:
             n.markup = KINDS[n.kind][0] == "latex" and n.odds > 0
         else:
-            yes, no = choices(n)
-            n.markup = yes > no
+            n.markup = n.yes > n.no
         shut = none or n.markup and (n.raw or n.kind in VERBATIM)
+        tags = _own(n)
         for c in n.children:
             put(c, latex_only or n.markup and n.kind in FORMULA, shut)
+            if c in tags:
+                c.markup = n.markup
 
     for n in roots:
         put(n, False, False)
@@ -208,18 +225,28 @@ def decode(roots: list[Node]) -> None:
 
 def parse(texts: list[str], model: Boosted) -> list[list[Node]]:
     """The trees of the texts with their labels."""
-    trees = [read(t) for t in texts]
-    nodes, rows = [], []
-    for t, roots in zip(texts, trees):
-        if roots:
-            n, x = features(t, roots)
-            nodes += n
-            rows.append(x)
-    if nodes:
-        for n, odds in zip(nodes, model.log_odds(np.concatenate(rows))):
-            n.odds = 12.0 if n.raw else float(odds)
-    for roots in trees:
-        decode(roots)
+    trees: list[list[Node]] = [[] for _ in texts]
+    without: dict[int, set[tuple[str, int, int]]] = {i: set() for i in range(len(texts))}
+    for _ in range(READINGS):
+        nodes, rows, blocks = [], [], {}
+        for i, left in without.items():
+            trees[i], blocks[i] = read(texts[i], left)
+            if trees[i]:
+                n, x = features(texts[i], trees[i])
+                nodes += n
+                rows.append(x)
+        if nodes:
+            for n, odds in zip(nodes, model.log_odds(np.concatenate(rows))):
+                n.odds = 12.0 if n.raw else float(odds)
+        again = {}
+        for i, left in without.items():
+            decode(trees[i])
+            idle = {b.place for b in blocks[i] if not b.markup}
+            if idle:
+                again[i] = left | idle
+        without = again
+        if not without:
+            break
     return trees
 
 
@@ -249,6 +276,8 @@ def cleaned(text: str, roots: list[Node]) -> str:
         m, kind = n.match, n.kind
         if kind in ("fence", "code"):
             return m[0] if kind == "code" else f"```\n{m['in']}```"
+        if kind == "element":
+            return inside(n.start, n.end, n.children)
         inner = inside(n.low, n.high, n.children)
         if kind == "comment":
             return ""
@@ -402,7 +431,7 @@ def model(sample: int = SAMPLE, seed: int = 7) -> Boosted:
     rows, labels = [], []
     for _ in range(sample):
         text, marked = teach(rng)
-        roots = read(text)
+        roots, _ = read(text)
         if not roots:
             continue
         code = [(n.low, n.high) for n in walk(roots) if n.kind in VERBATIM or n.raw]

@@ -80,6 +80,20 @@ def test_families():
     assert [(t, markup.families(roots)) for (t, _), roots in zip(CASES, trees)] == CASES
 
 
+def test_elements_hold_what_is_between_their_tags():
+    roots, _ = markup.read("<div><p><b>x</b> y</p></div>")
+    assert len(roots) == 1 and [(n.kind, n.depth) for n in markup.walk(roots) if n.kind == "element"] == [("element", 0), ("element", 1), ("element", 2)]
+    for tree in markup.parse(["<div><p><b>x</b> y</p></div>", "a<b 与 c>d </b> x", "Map<K, V> 与 </K>"], markup.model()):
+        for n in markup.walk(tree):
+            assert all(c.markup == n.markup for c in markup._own(n))
+
+
+def test_what_is_no_markup_is_not_in_the_way():
+    long = '<img src="data:image/png;base64,' + "iVBORw0KGgo" * 60 + '" alt="x">'
+    trees = markup.parse(["费用 $5 与 **粗体 $8** 字", f"图 {long} 示"], markup.model())
+    assert [markup.families(t) for t in trees] == [{"markdown"}, {"html"}]
+
+
 def test_held_out_accuracy():
     rng, right, n = random.Random(1234), 0, 0
     for _ in range(200):
