@@ -44,8 +44,9 @@ ITEMS, SENT = 5_000, 50_000
 OWNERS = 3
 #: A passage holds this part of an item, and in it at least this part of the characters is the same.
 PART, SAME = 0.5, 0.75
-#: Equal runs below this length are chance. Of an item's phrases this share must lie on about one diagonal for an alignment to be tried.
-RUN, HITS = 5, 0.1
+#: Equal runs below this length are chance. For an alignment to be tried, this share of the phrases that an item has alone must lie on
+#: about one diagonal, or WORDED of all its phrases, as wording in common lies there too.
+RUN, HITS, WORDED = 5, 0.15, 0.25
 #: Characters by which edits may shift a passage.
 SHIFT = 40
 
@@ -174,15 +175,16 @@ class FMIndex:
         return phrase, self.places[row]
 
 
-def phrases_of(items: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(phrases, item, offset): the phrases that few items have, as symbols, some for every STRIDE characters of an item."""
+def phrases_of(items: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(phrases, item, offset, alone): the phrases that few items have, as symbols, some for every STRIDE characters of an item, and
+    whether no other item has them."""
     owners: dict[str, set[int]] = {}
     for i, t in enumerate(items):
         for k in range(len(t) - DEPTH + 1):
             have = owners.setdefault(t[k : k + DEPTH], set())
             if len(have) <= OWNERS:
                 have.add(i)
-    got, item, offset = [], [], []
+    got, item, offset, alone = [], [], [], []
     for i, t in enumerate(items):
         own = [k for k in range(len(t) - DEPTH + 1) if len(owners[t[k : k + DEPTH]]) <= OWNERS]
         last = -STRIDE
@@ -191,9 +193,10 @@ def phrases_of(items: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 got.append(t[k : k + DEPTH])
                 item.append(i)
                 offset.append(k)
+                alone.append(len(owners[t[k : k + DEPTH]]) == 1)
                 last = k
     symbols = np.frombuffer("".join(got).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, DEPTH) if got else np.empty((0, DEPTH), np.uint32)
-    return symbols, np.array(item, np.int64), np.array(offset, np.int64)
+    return symbols, np.array(item, np.int64), np.array(offset, np.int64), np.array(alone, bool)
 
 
 def passage(item: str, text: str) -> tuple[int, int] | None:
@@ -239,18 +242,20 @@ def _indexed(run: list[tuple[int, int, str]]) -> FMIndex:
 
 def _search(index: FMIndex, run: list[tuple[int, int, str]], items: list[str], phrases: tuple[np.ndarray, ...]) -> Iterator[tuple[int, int, int, int]]:
     """(document, item, start, end) of the passages in a shard, in places of the evened documents."""
-    symbols, item, offset = phrases
+    symbols, item, offset, alone = phrases
     begins = np.cumsum([0, *(len(p) + 1 for _, _, p in run)])
     phrase, place = index.locate(*index.ranges(symbols))
     part = np.searchsorted(begins, place, "right") - 1
     shift = place - begins[part] - offset[phrase]
     order = np.lexsort((shift, item[phrase], part))
-    part, which, shift = part[order], item[phrase][order], shift[order]
+    part, which, shift, single = part[order], item[phrase][order], shift[order], alone[phrase][order]
     fresh = np.append(True, (part[1:] != part[:-1]) | (which[1:] != which[:-1]) | (shift[1:] - shift[:-1] > SHIFT)) if len(part) else np.empty(0, bool)
     start = np.flatnonzero(fresh)
     end = np.append(start[1:], len(part)).astype(np.int64)
-    own = np.bincount(item, minlength=len(items))
-    enough = end - start >= HITS * own[which[start]]
+    every, own = np.bincount(item, minlength=len(items)), np.bincount(item[alone], minlength=len(items))
+    hits = np.concatenate([[0], np.cumsum(single)])
+    hits = hits[end] - hits[start]
+    enough = (end - start >= WORDED * every[which[start]]) | (hits >= np.maximum(HITS * own[which[start]], 1))
     for a, b in zip(start[enough], end[enough]):
         d, s, t = run[part[a]]
         want = items[which[a]]
