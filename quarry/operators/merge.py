@@ -1,7 +1,7 @@
 """New questions merged into the bank: matched by fingerprint, then by likeness, each old question taken once.
 
 Only slim rows decide: (order, old order, score). The order-dependent part, which old question a new one may still take, is settled
-per connected group of candidates; most groups have one pair and are settled by joins alone. Full rows are joined back at the end.
+per connected group of candidates. Full rows are joined back at the end.
 
 Defined cases: of equal fingerprints in the bank the last one counts; a null fingerprint matches nothing; of equal scores the older
 question wins. An old question whose content is unchanged isn't taken, so a later new one may still replace it.
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from quarry.contract import Options
 from quarry.functions.text import content_fingerprint
+from quarry.operators.lineage import cut
 from quarry.operators.similarity import fuzzy_edges
 
 
@@ -35,11 +36,9 @@ def by_fingerprint(incoming: DataFrame, bank: DataFrame) -> DataFrame:
 
 
 def _components(edges: DataFrame) -> DataFrame:
-    """(ord, bank_ord, score, exact, grp): edges with the least old order that their group reaches. Groups are small, as an edge takes
-    near equality; the label goes on until nothing changes, the lineage cut after each step."""
-    from quarry.operators.lineage import cut
-
-    e = edges.withColumn("grp", F.col("bank_ord"))
+    """(ord, bank_ord, score, exact, grp): edges with the least old order that their group reaches. The label goes on until nothing
+    changes, the lineage cut after each step, and before the first, as each step uses the edges several times."""
+    e = cut(edges.withColumn("grp", F.col("bank_ord")))
     while True:
         by_new = e.groupBy("ord").agg(F.min("grp").alias("g"))
         step = e.join(by_new, "ord").drop("grp").withColumnRenamed("g", "grp")
@@ -80,7 +79,7 @@ def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def actions(incoming: DataFrame, bank: DataFrame, options: Options = Options()) -> DataFrame:
-    """(ord, bank_ord, action) for every new question: existing, updated, locked or new."""
+    """(ord, bank_ord, action) for every new question: existing, updated, locked or new. Written once, as all that follows uses it."""
     exact = by_fingerprint(incoming, bank).where("action <> 'miss'")
     edges = fuzzy_edges(incoming, bank, options.similarity, options.judge_stem_min).select("ord", "bank_ord", "score", F.lit("").alias("exact"))
     own = exact.select("ord", "bank_ord", F.lit(2.0).alias("score"), F.col("action").alias("exact"))
@@ -88,7 +87,7 @@ def actions(incoming: DataFrame, bank: DataFrame, options: Options = Options())
     chosen = grouped.repartition("grp").sortWithinPartitions("grp", "ord", F.desc("score"), "bank_ord").select("grp", "ord", "bank_ord", "exact").mapInPandas(_settle, "ord long, bank_ord long, how string")
     locks = bank.select(F.col("ord").alias("bank_ord"), F.coalesce("_locked", F.lit(False)).alias("lock"))
     settled = chosen.join(locks, "bank_ord").select("ord", "bank_ord", F.when(F.col("how") != "", F.col("how")).when(F.col("lock"), "locked").otherwise("updated").alias("action"))
-    return incoming.select("ord").join(settled, "ord", "left").select("ord", "bank_ord", F.coalesce("action", F.lit("new")).alias("action"))
+    return cut(incoming.select("ord").join(settled, "ord", "left").select("ord", "bank_ord", F.coalesce("action", F.lit("new")).alias("action")))
 
 
 def leftovers(bank: DataFrame, acted: DataFrame, rels: DataFrame | None = None, task_ids: DataFrame | None = None, options: Options = Options()) -> DataFrame:
