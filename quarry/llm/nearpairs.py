@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.questions import JOIN, prepare, verified
+from quarry.llm.questions import JOIN, fetched, prepare, verified
 from quarry.operators.overlap import parts_of
 
 
@@ -30,7 +30,7 @@ def alike_classes(prepared: DataFrame) -> DataFrame:
     """(ca, cb), ca < cb: the classes that are alike."""
     pairs = JOIN.near(candidates(prepared), prepared, prepared).persist(StorageLevel.MEMORY_AND_DISK)
     wanted = pairs.select(F.col("ca").alias("cls")).union(pairs.select(F.col("cb").alias("cls"))).distinct()
-    bodies = prepared.select("cls", "body").join(wanted, "cls", "left_semi").dropDuplicates(["cls"]).persist(StorageLevel.MEMORY_AND_DISK)
+    bodies = fetched(prepared, wanted).persist(StorageLevel.MEMORY_AND_DISK)
     return verified(pairs, bodies, bodies)
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,9 @@ from quarry.operators.overlap import Overlap
 PART = "\x1f"
 #: What is alike: this share of the mean count of two-character sequences.
 SHARE = 0.7
-JOIN = Overlap(SHARE)
+JOIN = Overlap(SHARE, groups=2)
+#: Bits, at most, of the table by which texts are sorted out before they are shuffled.
+MARKS = 1 << 26
 
 
 def body_of(kind: str | None, stem: str | None, options: list | None) -> str:
@@ -57,6 +60,24 @@ def prepare(df: DataFrame, key: str = "ord", also: list[str] | None = None) -> D
     return slim.mapInArrow(run, "ord long, kind string, cls long, size int, body string" + more)
 
 
+def fetched(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, body), one row per class, of the classes in ``wanted``. A table of bits, some for each of them, keeps most other texts
+    from being shuffled; where it is full it keeps none, and the join decides."""
+    slots = wanted.select(F.col("cls").bitwiseAND(F.lit(MARKS - 1)).cast("int").alias("slot")).distinct().toArrow().column("slot").to_numpy()
+    mask = min(MARKS, 1 << (16 * len(slots) + 1).bit_length()) - 1
+    full = np.zeros(mask + 1, bool)
+    full[slots & mask] = True
+    table = np.packbits(full, bitorder="little").tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(table, np.uint8)
+        for b in batches:
+            at = b.column(0).to_numpy() & mask
+            yield b.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+
+    return texts.select("cls", "body").mapInArrow(run, "cls long, body string").join(wanted, "cls", "left_semi").dropDuplicates(["cls"])
+
+
 def verified(pairs: DataFrame, left: DataFrame, right: DataFrame, share: float = SHARE) -> DataFrame:
     """Of the pairs of classes (ca, cb) those that are alike; left and right hold (cls, body), one row per class."""
 

@@ -6,6 +6,9 @@ common: a pair counts if 2c >= share(a + b), hence c >= share / (2 - share) a. I
 common have a first common token, and c tokens from it on each: so only the first a - c + 1 tokens of a set are posted. The order is
 from rare to frequent, by counts in a table of fixed size: what falls together in it blurs the order, and any order is right.
 
+Long texts are divided into groups of tokens by their hash, each a set of its own: if all groups had less than the share in common,
+so had the whole; so a pair has a group that has it, and is met there. A group's fingerprints need fewer bits for the same certainty.
+
 A posting carries a bit-difference fingerprint of what is left of its set from the token on: each bit is the parity of the tokens that
 hash to it. Let p and q tokens be left of two sets from their first common token on. These stretches hold all that is in common, so
 they differ in no more than p + q - share(a + b) tokens, and their fingerprints in no more bits. Late in a set, where the frequent
@@ -27,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +40,9 @@ SLOTS = 20
 LIMIT = 1 << 18
 #: Postings of one part, about; there are never fewer than PARTS parts.
 LOAD, PARTS = 1 << 21, 12
-#: Words of 64 bits of a fingerprint, and the tokens left beyond the share of its own size from which a posting has so many.
-WIDTHS, SPARE = (1, 2, 4, 8), (2, 18, 36)
+#: Words of 64 bits of a fingerprint, and the tokens left beyond the share of its own size from which a posting has so many; below 0
+#: it only meets what has some to spare.
+WIDTHS, SPARE = (1, 1, 2, 4, 8), (0, 2, 12, 40)
 WORDS = WIDTHS[-1]
 #: Pairs in a tile; columns below SMALL rows are met together.
 TILE, SMALL = 1 << 15, 64
@@ -128,8 +133,8 @@ def _pack(col: np.ndarray, row: np.ndarray, rest: np.ndarray, prints: np.ndarray
     squeezed = pa.compress(plain, codec="zstd", asbytes=True)
     many = np.bincount(grade, minlength=len(WIDTHS))
     cut = np.cumsum(many)
-    loose = b"".join(np.ascontiguousarray(_folded(prints[e - n : e], w)).tobytes() for e, n, w in zip(cut, many, WIDTHS)) + cls[used].tobytes()
-    return np.array([len(col), len(used), len(plain), len(squeezed), *many], np.int64).tobytes() + squeezed + loose
+    printed = pa.compress(b"".join(np.ascontiguousarray(_folded(prints[e - n : e], w)).tobytes() for e, n, w in zip(cut, many, WIDTHS)), codec="zstd", asbytes=True)
+    return np.array([len(col), len(used), len(plain), len(squeezed), *many], np.int64).tobytes() + squeezed + printed + cls[used].tobytes()
 
 
 def _unpack(blob: bytes) -> list[tuple[np.ndarray, ...]]:
@@ -142,11 +147,11 @@ def _unpack(blob: bytes) -> list[tuple[np.ndarray, ...]]:
     rest = _unplaned(data[6 * n : 10 * n], n, np.uint32).astype(np.int64)
     size = _unplaned(data[10 * n :], m, np.uint32).astype(np.int64)[row]
     cls = np.frombuffer(blob, np.int64, m, len(blob) - 8 * m)[row]
-    at += squeezed
-    out, low = [], 0
+    bits = pa.decompress(memoryview(blob)[at + squeezed : len(blob) - 8 * m], 8 * sum(k * w for k, w in zip(many, WIDTHS)), codec="zstd", asbytes=True)
+    out, low, at = [], 0, 0
     for k, w in zip(many, WIDTHS):
         s = slice(low, low + k)
-        out.append((col[s], cls[s], size[s], rest[s], np.frombuffer(blob, np.uint64, k * w, at).reshape(k, w)))
+        out.append((col[s], cls[s], size[s], rest[s], np.frombuffer(bits, np.uint64, k * w, at).reshape(k, w)))
         low, at = low + k, at + 8 * k * w
     return out
 
@@ -169,6 +174,8 @@ class _Rows:
         self.room = np.clip(np.floor(self.spare), -30000, 30000).astype(np.int16)  # two of them, and one for what is cut off
         self.names, self.start = np.unique(self.col, return_index=True)
         self.stop = np.append(self.start[1:], len(self.col))
+        self.top = self.spare.max(initial=-np.inf)
+        self.wider = np.maximum.reduceat(self.most - self.size, self.start) if len(self.col) else self.start
 
 
 def _survivors(x: _Rows, y: _Rows, w: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -217,7 +224,7 @@ def _pairs(x: _Rows, y: _Rows, w: int) -> Iterator[tuple[np.ndarray, np.ndarray]
         sizes = y.size[ys:ye]
         run = max(1, min(64, TILE // (ye - ys)))
         at = np.arange(s, e, run)
-        lows = at + 1 if alone else ys + np.searchsorted(sizes, np.minimum.reduceat(x.least[s:e], at - s), "left")
+        lows = at + 1 if alone else ys + np.searchsorted(sizes, np.maximum(np.minimum.reduceat(x.least[s:e], at - s), x.size[at] - y.wider[d]), "left")
         highs = ys + np.searchsorted(sizes, np.maximum.reduceat(x.most[s:e], at - s), "right")
         got: list[tuple[np.ndarray, np.ndarray]] = []
         for i0, low, high in zip(at.tolist(), lows.tolist(), highs.tolist()):
@@ -270,6 +277,8 @@ def _met(share: float, batches: Iterator[pa.RecordBatch], two: bool) -> Iterator
 
     for i, a in enumerate(x):
         for k, b in enumerate(y if two else x[i:]):
+            if a.top + b.top < -EDGE:
+                continue
             for pair in _pairs(a, b, WIDTHS[min(i, k) if two else i]):
                 waiting.append(pair)
                 n += len(pair[0])
@@ -282,11 +291,13 @@ def _met(share: float, batches: Iterator[pa.RecordBatch], two: bool) -> Iterator
 
 @dataclass(frozen=True)
 class Overlap:
-    """The join: texts are alike if so large a share of the mean of their tokens is common; ``gram`` is 1 for characters, 2 for sequences."""
+    """The join: texts are alike if so large a share of the mean of their tokens is common; ``gram`` is 1 for characters, 2 for sequences;
+    ``groups``, at most 8, is into how many sets a text's tokens are divided by their hash."""
 
     share: float
     gram: int = 2
     limit: int = LIMIT
+    groups: int = 1
 
     def tokens(self, kinds: list[str | None], bodies: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(row, token), sorted by row: hashes of characters or sequences, repetitions told apart."""
@@ -299,15 +310,15 @@ class Overlap:
         with np.errstate(over="ignore"):
             value = code[:last] * np.uint64(0x110000) + (code[1:] if self.gram == 2 else np.uint64(0)) + np.uint64(1)
             gram = mixed(value * GOLD + seed[row[:last]])
-        row, gram = row[:last][ok], gram[ok]
-        order = np.argsort(gram)
-        order = order[np.argsort(row[order].astype(np.uint16), kind="stable")]
-        row, gram = row[order], gram[order]
-        fresh = np.append(True, (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])) if len(row) else np.empty(0, bool)
-        start = np.flatnonzero(fresh)
-        nth = np.arange(len(row)) - np.repeat(start, np.diff(np.append(start, len(row))))
+        # row and 52 bits of the hash in one number: CHUNK rows have 12 bits, and sequences that fall together only add to what is common
+        both = np.sort(row[:last][ok].astype(np.uint64) << np.uint64(52) | gram[ok] >> np.uint64(12))
+        start = np.flatnonzero(np.append(True, both[1:] != both[:-1])) if len(both) else np.empty(0, np.int64)
+        nth = np.arange(len(both)) - np.repeat(start, np.diff(np.append(start, len(both))))
         with np.errstate(over="ignore"):
-            return row, mixed(gram + nth.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+            return (both >> np.uint64(52)).astype(np.int64), mixed((both << np.uint64(12)) + nth.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+    def group_of(self, token: np.ndarray) -> np.ndarray:
+        return ((token & np.uint64(0xFFFF)) % np.uint64(self.groups)).astype(np.int64)
 
     def frequencies(self, prepared: DataFrame) -> np.ndarray:
         """How many tokens fall into each slot; that table is all that comes to the driver."""
@@ -324,21 +335,28 @@ class Overlap:
         return table_of(got.column("slot").to_numpy(), got.column("n").to_numpy())
 
     def posted(self, kinds: list[str | None], bodies: list[str], often: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(row, token, size, rest, print): the first tokens of each row; rest counts the tokens from this one on, the print is theirs."""
+        """(row, token, size, rest, print): the first tokens of each row's groups, group g of row r as r * groups + g; rest counts the
+        tokens of the group from this one on, the print is theirs."""
         row, token = self.tokens(kinds, bodies)
-        size = np.bincount(row, minlength=len(bodies))
-        # tokens come in one order for all rows, which a stable sort keeps among those of equal counts
-        rank = np.argsort(often[slot_of(token)], kind="stable")
-        rank = rank[np.argsort(row[rank].astype(np.uint16), kind="stable")]
-        token = token[rank]
+        row = row * self.groups + self.group_of(token)
+        size = np.bincount(row, minlength=len(bodies) * self.groups)
+        # row, count (of a large one the first bits) and hash in one number; tokens come in one order for all rows, which a stable sort keeps
+        times = (often[slot_of(token)].astype(np.float32).view(np.uint32) >> np.uint32(14)).astype(np.uint64)
+        key = row.astype(np.uint64) << np.uint64(49) | times << np.uint64(32) | token >> np.uint64(32)
+        rank = np.argsort(key)
+        if (key[rank[1:]] == key[rank[:-1]]).any():
+            rank = np.argsort(key, kind="stable")
+        row, token = row[rank], token[rank]
         place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
         rest = size[row] - place
         first = np.flatnonzero(rest >= size[row] * self.share / (2 - self.share) - EDGE)
-        bit = (mixed(token) >> np.uint64(55)).astype(np.int64)
+        words = WIDTHS[int(np.searchsorted(SPARE, (rest[first] - self.share * size[row[first]]).max(initial=0), "right"))]
+        bit = (mixed(token) >> np.uint64(55)).astype(np.int64) % (64 * words)
+        one, word = np.uint64(1) << (bit & 63).astype(np.uint64), bit >> 6
         end = np.cumsum(size)[row[first]] - 1
-        prints = np.empty((len(first), WORDS), np.uint64)
-        for w in range(WORDS):
-            whole = np.bitwise_xor.accumulate(np.where(bit >> 6 == w, np.uint64(1) << (bit & 63).astype(np.uint64), np.uint64(0)))
+        prints = np.empty((len(first), words), np.uint64)
+        for w in range(words):
+            whole = np.bitwise_xor.accumulate(np.where(word == w, one, np.uint64(0)))
             before = np.where(first > 0, whole[first - 1], np.uint64(0)) if len(first) else whole[:0]
             prints[:, w] = whole[end] ^ before
         return row[first], token[first], size[row[first]], rest[first], prints
@@ -351,14 +369,16 @@ class Overlap:
             for b in batches:
                 for cls, kinds, bodies in _chunks(b):
                     row, token, size, rest, prints = self.posted(kinds, bodies, often)
-                    at, key = _squares(token, cls[row], often, self.limit)
+                    at, key = _squares(token, cls[row // self.groups], often, self.limit)
                     known = often[slot_of(token[at])] > 0 if counted else slice(None)
                     at, key = at[known], key[known]
-                    row, size, rest, prints = row[at], size[at], rest[at], prints[at]
+                    row, token, size, rest, prints = row[at], token[at], size[at], rest[at], prints[at]
                     grade = np.searchsorted(SPARE, rest - self.share * size, "right")
-                    sizes = np.zeros(len(cls), np.int64)
+                    owner = np.repeat(cls, self.groups)
+                    sizes = np.zeros(len(owner), np.int64)
                     sizes[row] = size
-                    part = (mixed(key) % np.uint64(parts)).astype(np.int64)
+                    # a part has one group's columns, so that of a class it holds one size
+                    part = ((mixed(key) % np.uint64(max(parts // self.groups, 1))).astype(np.int64) * self.groups + self.group_of(token)) % parts
                     order = np.argsort(part, kind="stable")
                     cut = np.searchsorted(part[order], np.arange(parts + 1))
                     col = (key >> np.uint64(32)).astype(np.uint32)
@@ -366,7 +386,7 @@ class Overlap:
                     for p in np.flatnonzero(np.diff(cut)):
                         o = order[cut[p] : cut[p + 1]]
                         names.append(p)
-                        blobs.append(_pack(col[o], row[o], rest[o], prints[o], grade[o], cls, sizes))
+                        blobs.append(_pack(col[o], row[o], rest[o], prints[o], grade[o], owner, sizes))
                     yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array([side] * len(names), pa.int32()), pa.array(blobs, pa.binary())], names=["part", "side", "blob"])
 
         return prepared.select("kind", "cls", "body").mapInArrow(run, BLOBS)
@@ -399,6 +419,8 @@ class Overlap:
         words = [f"w{i}" for i in range(WORDS)]
         schema = "cls long, n int, " + ", ".join(f"{w} long" for w in words)
         sides = [d.select("kind", "cls", "body").mapInArrow(run, schema).dropDuplicates(["cls"]) for d in ([left] if left is right else [left, right])]
+        if left is right:  # shuffled once for both joins
+            sides[0] = sides[0].persist(StorageLevel.MEMORY_AND_DISK)
         a, b = (d.select(F.col("cls").alias(f"c{x}"), *(F.col(c).alias(f"{c}_{x}") for c in ("n", *words))) for d, x in zip((sides[0], sides[-1]), "ab"))
         apart = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words[1:]), F.bit_count(F.col("w0_a").bitwiseXOR(F.col("w0_b"))))
         return pairs.join(a, "ca").join(b, "cb").where(apart <= (1 - self.share) * (F.col("n_a") + F.col("n_b")) + EDGE).select("ca", "cb")

@@ -216,6 +216,39 @@ def test_near_pairs_of_short_parts_and_spread_edits(spark):
         assert {tuple(sorted((names[a], names[b]))) for a, b in want if names[a] != names[b]} <= {tuple(r) for r in pairs.collect()}
 
 
+def test_groups_of_tokens_lose_nothing_and_take_less_room(spark):
+    """A pair is met in one group or the other, also where a long text shares all its rare sequences with others."""
+    rng = random.Random(14)
+    rows = [[i, "JUDGE", "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(180)), None, None] for i in range(120)]
+    for i in range(120):  # of 180 letters 40 are changed, on end or spread
+        text, at = list(rows[i][2]), range(20, 60) if i % 2 else rng.sample(range(180), 22)
+        for k in at:
+            text[k] = rng.choice("abcdefghijklmnopqrstuvwxyz")
+        rows.append([200 + i, "JUDGE", "".join(text), None, None])
+    want = {(a, b) for a, b in brute(rows, rows) if a < b}
+    assert len(want) > 60
+    df = spark.createDataFrame(rows, QUESTIONS)
+    assert {tuple(r) for r in nearpairs.found(df).collect()} == want
+    prepared = questions.prepare(df)
+    often = questions.JOIN.frequencies(prepared)
+    room = [sum(len(r["blob"]) for r in j.postings(prepared, often, 12).collect()) for j in (Overlap(0.7), questions.JOIN)]
+    assert questions.JOIN.groups > 1 and room[1] < 0.8 * room[0]
+    for limit in (20, 1 << 18):
+        join = Overlap(0.7, limit=limit, groups=3)
+        pairs = join.near(join.within(join.postings(prepared, often, 5), 5), prepared, prepared)
+        names = {r["ord"]: r["cls"] for r in prepared.collect()}
+        assert {tuple(sorted((names[a], names[b]))) for a, b in want} <= {tuple(r) for r in pairs.collect()}
+
+
+def test_texts_are_sorted_out_before_they_are_shuffled(spark, monkeypatch):
+    texts = spark.createDataFrame([(k * 0x9E3779B97F4A7C15 % (1 << 63), f"t{k}") for k in range(3000)] * 2, "cls long, body string")
+    wanted = texts.where("body in ('t5', 't17', 't2999')").select("cls").distinct()
+    for marks in (1 << 26, 2):  # with two bits nothing is sorted out
+        monkeypatch.setattr(questions, "MARKS", marks)
+        assert sorted(r["body"] for r in questions.fetched(texts, wanted).collect()) == ["t17", "t2999", "t5"]
+    assert questions.fetched(texts, wanted.limit(0)).count() == 0
+
+
 def test_history_equals_brute_force(spark):
     rng = random.Random(10)
     old = some_questions(rng, 150)
