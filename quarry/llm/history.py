@@ -25,7 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.questions import JOIN, prepare, verified
+from quarry.llm.questions import JOIN, fetched, prepare, verified
 from quarry.operators.overlap import parts_of, table_of
 
 #: Blocks of a stored index: a batch of a few questions reads few of them.
@@ -80,8 +80,7 @@ class Index:
         mine = prepared.where("body <> ''").select("kind", "cls", "ord", "size", "body")
         theirs = self.members.where("body <> ''")
         hits = JOIN.near(JOIN.between(asked, stored, min(self.blocks, parts_of(2 * self.often))), mine, theirs).persist(StorageLevel.MEMORY_AND_DISK)
-        ours = mine.join(hits.select(F.col("ca").alias("cls")).distinct(), "cls", "left_semi").select("cls", "body").dropDuplicates(["cls"])
-        others = theirs.join(hits.select(F.col("cb").alias("cls")).distinct(), "cls", "left_semi").select("cls", "body").dropDuplicates(["cls"])
+        ours, others = (fetched(texts, hits.select(F.col(c).alias("cls")).distinct()) for texts, c in ((mine, "ca"), (theirs, "cb")))
         alike = verified(hits, ours, others)
         us, them = mine.where("size > 0").select(F.col("cls").alias("ca"), F.col("ord").alias("clean_ord")), theirs.select(F.col("cls").alias("cb"), F.col("ord").alias("bank_ord"))
         pairs = alike.join(us, "ca").join(them, "cb").select("bank_ord", "clean_ord")

@@ -282,6 +282,31 @@ def test_history_of_short_pieces_loses_nothing(spark, tmp_path, monkeypatch):
         assert Counter(tuple(r) for r in index.lookup(probe).collect()) == Counter(want | prints)
 
 
+def test_index_of_long_questions_in_groups_loses_nothing(spark, tmp_path, monkeypatch):
+    rng = random.Random(15)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    old = [[i, "JUDGE", "".join(rng.choice(letters) for _ in range(180)), None, None] for i in range(60)]
+    new = []
+    for i in range(60):  # changed on end or spread, up to what the definition allows and beyond
+        text, at = list(old[i][2]), range(20, 60) if i % 2 else rng.sample(range(180), 24)
+        for k in at:
+            text[k] = rng.choice(letters)
+        new.append([200 + i, "JUDGE", "".join(text), None, None])
+    want = brute(old, new)
+    assert len(want) > 30
+    probe = spark.createDataFrame(new, QUESTIONS)
+    for blocks in (1, 7):  # one that holds both groups, and a number that they don't divide
+        monkeypatch.setattr(history, "BLOCKS", blocks)
+        folder = str(tmp_path / str(blocks))
+        index = Index.of(spark.createDataFrame(old, QUESTIONS), blocks=blocks)
+        index.append(folder, "1")
+        for i in (index, Index.read(spark, folder)):
+            assert Counter(tuple(r) for r in i.lookup(probe).collect()) == Counter(want)
+    plain = Overlap(0.7).postings(questions.prepare(spark.createDataFrame(old, QUESTIONS)), index.often, 7, 1)
+    room = [sum(len(r["blob"]) for r in t.collect()) for t in (plain, index.tables)]
+    assert room[1] < 0.8 * room[0]
+
+
 def test_index_is_appended_not_rebuilt(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(history, "BLOCKS", 7)
     rng = random.Random(11)
