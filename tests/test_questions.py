@@ -1,5 +1,6 @@
 import difflib
 import random
+import tracemalloc
 from collections import Counter
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quarry.contract import LABELS, Options
 from quarry.functions.text import norm
-from quarry.operators import folds, merge, reports, similarity, validate
+from quarry.operators import folds, merge, ratios, reports, similarity, validate
 
 SCHEMA = "ord long, type string, stem string, options array<struct<label:string,content:string>>, answer array<string>, analysis string, difficulty string, score int, category string, tags array<string>, source_quote string, _task_id string, _source_file string, _source_section string, _fingerprint string, _freq string, _judge_remap map<string,string>, _added_at string, _updated_at string, _locked boolean"
 FOUR = [("A", "甲项"), ("B", "乙项"), ("C", "丙项"), ("D", "丁项")]
@@ -295,3 +296,44 @@ def test_streams(spark, tmp_path):
 
 def test_normal_forms_meet(spark):
     assert spark.range(1).select(norm(F.lit("A b"))).first()[0] == "ab" and len(LABELS) == 6
+
+
+def test_ratios_of_a_block_equal_difflib():
+    rng = random.Random(8)
+    word = lambda least, most, letters: "".join(rng.choice(letters) for _ in range(rng.randint(least, most)))
+    left, right = ([word(0, 30, "abcd") for _ in range(40)] + [word(60, 140, "abcdefgh") for _ in range(20)] + [word(190, 230, "abcdefgh") for _ in range(8)] + [word(10, 25, "索引锁日𝔘") for _ in range(10)] + [""] for _ in "xy")
+    right += left[:3] + left[45:48]
+    for least in (0.3, 0.5, 0.7):
+        got = [(int(a), int(b), float(c)) for i, j, r in ratios.alike(least, left, right) for a, b, c in zip(i, j, r)]
+        want = [(i, j, r) for i, x in enumerate(left) for j, y in enumerate(right) if (r := difflib.SequenceMatcher(None, x, y).ratio()) >= least]
+        assert want and sorted(got) == want
+
+
+def test_fuzzy_edges_of_judge_over_blocks(spark, monkeypatch):
+    """Several blocks, options that differ, copies on both sides, empty stems."""
+    monkeypatch.setattr(similarity, "BLOCK", 7)
+    rng = random.Random(2)
+    stems = ["", *("".join(rng.choice("abcdefghij") for _ in range(rng.randint(4, 40))) for _ in range(14))]
+    sides = []
+    for _ in "xy":
+        sides.append([question(i, type="JUDGE", stem=rng.choice(stems) if i % 3 == 0 else "".join(rng.choice("abcdef") for _ in range(rng.randint(4, 30))), options=FOUR[: rng.choice([0, 2, 2, 2, 3])]) for i in range(40)])
+    sides = [[*s, question(90, type="JUDGE", stem="", options=FOUR[:2]), question(91, type=None, stem="abc")] for s in sides]
+
+    def score(x, y):
+        ox, oy = ({c for _, c in q[3]} for q in (x, y))
+        return 0.5 * difflib.SequenceMatcher(None, x[2], y[2]).ratio() + 0.5 * (len(ox & oy) / len(ox | oy) if ox | oy else 0.0)
+
+    want = {(x[0], y[0]): s for x in sides[0] for y in sides[1] if x[1] == y[1] == "JUDGE" and (s := score(x, y)) >= 0.75}
+    got = [((r["ord"], r["bank_ord"]), r["score"]) for r in similarity.fuzzy_edges(*(table(spark, *s) for s in sides)).where("type = 'JUDGE'").collect()]
+    assert len(want) > 30 and len(got) == len(want) and dict(got) == want
+
+
+def test_judge_block_holds_little():
+    """A block of stems that nearly all pass the first bounds stays small, whatever passes them."""
+    rng = random.Random(4)
+    rows = [[(n * 10_000 + i, "".join(rng.choice("etaoinshr") for _ in range(rng.randint(50, 90))), ["正确", "错误"]) for i in range(700)] for n in range(2)]
+    tracemalloc.start()
+    n = sum(b.num_rows for b in similarity._scored(0.75, 0.5, 0.0, *rows))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n and peak < 150e6
