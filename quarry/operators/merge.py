@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quarry.contract import Options
 from quarry.functions.text import content_fingerprint
 from quarry.operators.lineage import cut
-from quarry.operators.similarity import fuzzy_edges
+from quarry.operators.similarity import JUDGE, option_edges, stem_edges
 
 
 def with_content(df: DataFrame) -> DataFrame:
@@ -35,10 +35,14 @@ def by_fingerprint(incoming: DataFrame, bank: DataFrame) -> DataFrame:
     return j.select("ord", F.col("old.ord").alias("bank_ord"), action.alias("action"))
 
 
+#: The group of all JUDGE questions, below every order.
+JUDGED = -(1 << 62)
+
+
 def _components(edges: DataFrame) -> DataFrame:
-    """(ord, bank_ord, score, exact, grp): edges with the least old order that their group reaches. The label goes on until nothing
+    """(ord, bank_ord, score, exact, grp): edges with the least label that their group reaches. The label goes on until nothing
     changes, the lineage cut after each step, and before the first, as each step uses the edges several times."""
-    e = cut(edges.withColumn("grp", F.col("bank_ord")))
+    e = cut(edges)
     while True:
         by_new = e.groupBy("ord").agg(F.min("grp").alias("g"))
         step = e.join(by_new, "ord").drop("grp").withColumnRenamed("g", "grp")
@@ -81,9 +85,15 @@ def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def actions(incoming: DataFrame, bank: DataFrame, options: Options = Options()) -> DataFrame:
     """(ord, bank_ord, action) for every new question: existing, updated, locked or new. Written once, as all that follows uses it."""
     exact = by_fingerprint(incoming, bank).where("action <> 'miss'")
-    edges = fuzzy_edges(incoming, bank, options.similarity, options.judge_stem_min).select("ord", "bank_ord", "score", F.lit("").alias("exact"))
+    # JUDGE questions are one group, as nearly all of them hang together: their many edges needn't be read in every step, only the few
+    # edges that may lead there
+    judged = stem_edges(incoming, bank, options.similarity, options.judge_stem_min).select("ord", "bank_ord", "score", F.lit("").alias("exact"), F.lit(JUDGED).alias("grp"))
+    edges = option_edges(incoming, bank, options.similarity).select("ord", "bank_ord", "score", F.lit("").alias("exact"), F.col("bank_ord").alias("grp"))
     own = exact.select("ord", "bank_ord", F.lit(2.0).alias("score"), F.col("action").alias("exact"))
-    grouped = _components(edges.unionByName(own))
+    for df, key in ((incoming, "ord"), (bank, "bank_ord")):
+        own = own.join(df.select(F.col("ord").alias(key), F.coalesce(F.expr(JUDGE), F.lit(False)).alias(f"judge_{key}")), key)
+    own = own.select("ord", "bank_ord", "score", "exact", F.when(F.col("judge_ord") | F.col("judge_bank_ord"), JUDGED).otherwise(F.col("bank_ord")).alias("grp"))
+    grouped = _components(edges.unionByName(own)).unionByName(judged)
     chosen = grouped.repartition("grp").sortWithinPartitions("grp", "ord", F.desc("score"), "bank_ord").select("grp", "ord", "bank_ord", "exact").mapInPandas(_settle, "ord long, bank_ord long, how string")
     locks = bank.select(F.col("ord").alias("bank_ord"), F.coalesce("_locked", F.lit(False)).alias("lock"))
     settled = chosen.join(locks, "bank_ord").select("ord", "bank_ord", F.when(F.col("how") != "", F.col("how")).when(F.col("lock"), "locked").otherwise("updated").alias("action"))

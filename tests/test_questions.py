@@ -337,3 +337,18 @@ def test_judge_block_holds_little():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert n and peak < 150e6
+
+
+def test_merge_of_judge_is_one_group(spark, monkeypatch):
+    """Many like JUDGE questions aren't labelled step by step, and one whose fingerprint is another type's is settled with them."""
+    labelled = []
+    components = merge._components
+    monkeypatch.setattr(merge, "_components", lambda edges: components(labelled.append(edges.count()) or edges))
+    two, keys = [("A", "正确"), ("B", "错误")], [x.split(" ")[0] for x in SCHEMA.split(", ")]
+    old = [question(i, type="JUDGE", stem=f"第{i}个默认的配置之下总会先于其它写入落盘", options=two) for i in range(20)] + [question(30, stem="哪一个副本先于日志写入")]
+    new = [question(100 + i, type="JUDGE", stem=f"第{2 * i}个默认的配置之下总会后于其它写入落盘", options=two, _fingerprint=f"n{i}") for i in range(24)]
+    new += [question(90, stem="哪一个副本先于日志写入吗", _fingerprint="n90"), question(130, type="JUDGE", stem="第3个默认的配置之下", options=two, _fingerprint="fp30"), question(131, stem="别的", _fingerprint="fp5")]
+    new.sort()
+    got = {r["ord"]: r["action"] for r in merge.actions(table(spark, *new), table(spark, *old)).collect()}
+    assert got == brute_merge([dict(zip(keys, q)) for q in new], [dict(zip(keys, q)) for q in old]) and {"new", "updated"} <= set(got.values())
+    assert labelled == [3]
